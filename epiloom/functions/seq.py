@@ -113,20 +113,33 @@ def one_mismatch_pattern(adapter: str) -> str:
     return f"(?:{error_right}|{error_left})"
 
 
-def _partial_lengths(adapter: str) -> list[tuple[int, int, int]]:
-    """(overlap, mismatches, score) of the partial placements allowed at a read end."""
-    out = []
-    for overlap in range(chem.ADAPTER_MIN_OVERLAP, len(adapter)):
-        for errors in range(int(overlap * chem.ADAPTER_ERROR_RATE) + 1):
-            out.append((overlap, errors, overlap - 2 * errors))
-    return out
+def _partial_placements(adapter: str) -> list[tuple[int, int]]:
+    """(overlap, mismatches) allowed at a read end, best score (overlap - 2 * mismatches) first."""
+    allowed = [
+        (overlap, errors)
+        for overlap in range(chem.ADAPTER_MIN_OVERLAP, len(adapter))
+        for errors in range(int(overlap * chem.ADAPTER_ERROR_RATE) + 1)
+    ]
+    return sorted(allowed, key=lambda p: (2 * p[1] - p[0], p[0]))
+
+
+def _partial_pattern(adapter: str) -> str:
+    """Adapter suffixes at the start of a read; the first alternative that fits has the best score."""
+    pieces = (
+        one_mismatch_pattern(adapter[-overlap:]) if errors else exact_pattern(adapter[-overlap:])
+        for overlap, errors in _partial_placements(adapter)
+    )
+    return "^(?:" + "|".join(pieces) + ")"
+
 
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """Compute columns once behind a one-row ``inline``.
 
-def _first_match(cases: list[tuple[Column, Column]]) -> Column:
-    expr = F.when(*cases[0])
-    for case in cases[1:]:
-        expr = expr.when(*case)
-    return expr
+    The optimizer would otherwise copy a long expression into each of its uses;
+    for a chain of pattern searches those copies multiply.
+    """
+    keep = [c for c in df.columns if c not in columns]
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def with_adapter_match(
@@ -141,85 +154,58 @@ def with_adapter_match(
     suffix) or the read end (``end="3"``, adapter prefix).
     """
     m = len(adapter)
-    near, exact, partial = f"{start_col}__near", f"{start_col}__exact", f"{start_col}__partial"
     column = F.col(seq)
-
-    if end == "5":
-        ranked = sorted(_partial_lengths(adapter), key=lambda p: (-p[2], p[0]))
-    else:
-        ranked = sorted(_partial_lengths(adapter), key=lambda p: (-p[2], -p[0]))
-    cases = []
-    for overlap, errors, score in ranked:
-        piece = adapter[m - overlap :] if end == "5" else adapter[:overlap]
-        pattern = one_mismatch_pattern(piece) if errors else exact_pattern(piece)
-        pattern = f"^{pattern}" if end == "5" else f"{pattern}$"
-        cases.append(
-            (column.rlike(pattern), F.struct(F.lit(overlap).alias("overlap"), F.lit(score).alias("score")))
-        )
-
-    # The shortest partial placement is error free, so one end test rules most reads out.
-    out = (
-        df.withColumn(near, F.regexp_instr(column, F.lit(one_mismatch_pattern(adapter))))
-        .withColumn(
-            exact,
-            F.when(F.col(near) > 0, F.regexp_instr(column, F.lit(exact_pattern(adapter)))).otherwise(0),
-        )
-        .withColumn(partial, _first_match(cases))
+    # A 3' prefix at the end of a read is a suffix at the start of the reversed read.
+    edge, piece = (column, adapter) if end == "5" else (F.reverse(column), adapter[::-1])
+    strong = (m - 1, m - 2) if end == "5" else (m - 1,)
+    strong_pattern = "^(?:" + "|".join(exact_pattern(piece[-n:]) for n in strong) + ")"
+    df = staged(
+        df,
+        _near=F.regexp_instr(column, F.lit(one_mismatch_pattern(adapter))),
+        _exact=F.regexp_instr(column, F.lit(exact_pattern(adapter))),
+        _part=F.length(F.regexp_extract(edge, _partial_pattern(piece), 0)),
+        _strong=edge.rlike(strong_pattern),
     )
-    near_c, exact_c, part_c = F.col(near), F.col(exact), F.col(partial)
-    full = F.when(near_c == 0, None).when(
-        (exact_c > 0) & (exact_c <= near_c + m // 2), exact_c
-    ).otherwise(near_c)
-    full_score = F.when(full == exact_c, m).otherwise(m - 2)
+    near, exact, part, strong_hit = (F.col(c) for c in ("_near", "_exact", "_part", "_strong"))
+    full = F.when(near == 0, None).when((exact > 0) & (exact <= near + m // 2), exact).otherwise(near)
     if end == "5":
-        # A partial placement comes first; a full one must score strictly more.
-        beating = (
-            F.when(part_c.isNull() | (part_c["score"] < m - 2), full)
-            .when(exact_c > 0, exact_c)
-        )
-        start = F.when(beating.isNotNull(), beating - 1).when(part_c.isNotNull(), 0)
-        stop = F.when(beating.isNotNull(), beating - 1 + m).otherwise(part_c["overlap"])
+        # The partial placement comes first; a full one must score strictly more.
+        full = F.when(~strong_hit, full).when(exact > 0, exact)
+        start = F.when(full.isNotNull(), full - 1).when(part > 0, 0)
+        stop = F.when(full.isNotNull(), full - 1 + m).when(part > 0, part)
     else:
-        origin = F.length(column) - part_c["overlap"]
-        use_partial = part_c.isNotNull() & (
-            full.isNull()
-            | ((part_c["score"] > full_score) & (origin <= full - 1 + m // 2))
+        # The partial placement comes last; only a longer run of matches replaces a full one.
+        origin = F.length(column) - part
+        use_part = (part > 0) & (
+            full.isNull() | ((full != exact) & strong_hit & (origin <= full - 1 + m // 2))
         )
-        start = F.when(use_partial, origin).otherwise(full - 1)
-        stop = F.when(use_partial, F.length(column)).otherwise(full - 1 + m)
-    return out.withColumn(start_col, start).withColumn(stop_col, stop).drop(near, exact, partial)
-
-
-def _trim_pair_end(df: DataFrame, seq: str, qual: str, adapter5: str, adapter3: str, prefix: str) -> DataFrame:
-    left_start, left_stop = f"{prefix}_l0", f"{prefix}_l1"
-    right_start, right_stop = f"{prefix}_r0", f"{prefix}_r1"
-    df = with_adapter_match(df, seq, adapter5, "5", left_start, left_stop)
-    cut = F.coalesce(F.col(left_stop), F.lit(0))
-    for name in (seq, qual):
-        df = df.withColumn(name, F.substr(F.col(name), cut + 1))
-    df = with_adapter_match(df, seq, adapter3, "3", right_start, right_stop)
-    for name in (seq, qual):
-        df = df.withColumn(
-            name,
-            F.when(F.col(right_start).isNull(), F.col(name)).otherwise(
-                F.substr(F.col(name), F.lit(1), F.col(right_start))
-            ),
-        )
-    return (
-        df.withColumn(f"{prefix}_left", F.col(left_stop).isNotNull())
-        .withColumn(f"{prefix}_right", F.col(right_start).isNotNull())
-        .drop(left_start, left_stop, right_start, right_stop)
-    )
+        start = F.when(use_part, origin).otherwise(full - 1)
+        stop = F.when(use_part, F.length(column)).otherwise(full - 1 + m)
+    return staged(df, **{start_col: start, stop_col: stop}).drop("_near", "_exact", "_part", "_strong")
+
+
+def _trim_mate(df: DataFrame, mate: str, adapter5: str, adapter3: str) -> DataFrame:
+    seq, qual = f"{mate}_seq", f"{mate}_qual"
+    df = with_adapter_match(df, seq, adapter5, "5", "_start", "_stop")
+    cut = F.coalesce(F.col("_stop"), F.lit(0)) + 1
+    df = staged(
+        df,
+        **{n: F.substr(F.col(n), cut) for n in (seq, qual)},
+        **{f"{mate}_left": F.col("_stop").isNotNull()},
+    ).drop("_start", "_stop")
+    df = with_adapter_match(df, seq, adapter3, "3", "_start", "_stop")
+    length = F.coalesce(F.col("_start"), F.length(seq))
+    return staged(
+        df,
+        **{n: F.substr(F.col(n), F.lit(1), length) for n in (seq, qual)},
+        **{f"{mate}_right": F.col("_start").isNotNull()},
+    ).drop("_start", "_stop")
 
 
 def trim_adapters(df: DataFrame) -> DataFrame:
     """Trim ``r1_seq/r1_qual/r2_seq/r2_qual``; adds ``r{1,2}_left`` and ``r{1,2}_right`` hit flags."""
-    for mate, (a5, a3) in {
-        "r1": (chem.READ1_ADAPTER_5, chem.READ1_ADAPTER_3),
-        "r2": (chem.READ2_ADAPTER_5, chem.READ2_ADAPTER_3),
-    }.items():
-        df = _trim_pair_end(df, f"{mate}_seq", f"{mate}_qual", a5, a3, mate)
-    return df
+    df = _trim_mate(df, "r1", chem.READ1_ADAPTER_5, chem.READ1_ADAPTER_3)
+    return _trim_mate(df, "r2", chem.READ2_ADAPTER_5, chem.READ2_ADAPTER_3)
 
 
 def crop_insert(df: DataFrame) -> DataFrame:
@@ -234,7 +220,7 @@ def crop_insert(df: DataFrame) -> DataFrame:
     end2 = F.when(long2 & F.col("r2_right"), n2 - ext).otherwise(n2)
 
     def cut(name: str, start: Column, end: Column) -> Column:
-        return F.substr(F.col(name), start + 1, F.greatest(end - start, F.lit(0))).alias(name)
+        return F.substr(F.col(name), start + 1, F.greatest(end - start, F.lit(0)))
 
     cropped = {
         "r1_seq": cut("r1_seq", start1, end1),
@@ -242,7 +228,7 @@ def crop_insert(df: DataFrame) -> DataFrame:
         "r2_seq": cut("r2_seq", start2, end2),
         "r2_qual": cut("r2_qual", start2, end2),
     }
-    return df.select(*[cropped.get(c, F.col(c)) for c in df.columns])
+    return staged(df, **cropped)
 
 
 def long_enough_pair(r1: Column | str = "r1_seq", r2: Column | str = "r2_seq") -> Column:

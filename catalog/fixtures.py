@@ -73,16 +73,18 @@ FIXTURES: dict[str, str] = {
                    CASE WHEN l_linenumber % 3 = 0 THEN concat(ins, 'CTGTCTCTTATACACATCT', 'GGATTT')
                         WHEN l_linenumber % 3 = 1 THEN concat(ins, ins2, ins3) ELSE ins END AS ins
             FROM (
-              SELECT l_orderkey * 10 + l_linenumber AS rid, l_partkey, l_linenumber, l_partkey % 10 AS k,
+              SELECT (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 100
+                       + cast(l_quantity AS int) AS rid, l_partkey, l_linenumber, l_partkey % 10 AS k,
                      cast((l_partkey + l_linenumber) % 17 AS int) AS p,
                      substr({dna("concat('c', cast(o_custkey AS string))")}, 1, 17) AS bc,
                      substr({dna("concat('u', cast(l_orderkey % 50 AS string))")}, 1, 12) AS umi,
                      {dna("concat('i', cast(l_orderkey * 10 + l_linenumber AS string))", DNA_WITH_C)} AS ins,
                      {dna("concat('j', cast(l_orderkey * 10 + l_linenumber AS string))")} AS ins2,
                      {dna("concat('h', cast(l_orderkey * 10 + l_linenumber AS string))")} AS ins3,
-                     concat({dna("concat('k', cast(l_orderkey * 10 + l_linenumber AS string))")},
+                     translate(concat({dna("concat('k', cast(l_orderkey * 10 + l_linenumber AS string))")},
                             {dna("concat('m', cast(l_orderkey * 10 + l_linenumber AS string))")},
-                            {dna("concat('n', cast(l_orderkey * 10 + l_linenumber AS string))")}) AS r2,
+                            {dna("concat('n', cast(l_orderkey * 10 + l_linenumber AS string))")}),
+                               'G', CASE WHEN l_returnflag = 'R' THEN 'G' ELSE 'A' END) AS r2,
                      CASE WHEN l_quantity < 10 THEN '5' ELSE 'I' END AS qc,
                      CASE WHEN l_returnflag = 'R' THEN 'C' ELSE 'T' END AS i1,
                      CASE WHEN l_returnflag = 'R' THEN 'C' ELSE 'T' END AS i2,
@@ -108,6 +110,9 @@ FIXTURES: dict[str, str] = {
         FROM fx_alignments WHERE cell IS NOT NULL GROUP BY 1, 2, 3""",
     "fx_totals": """
         SELECT barcode, cast(sum(aligned_reads) AS bigint) AS reads FROM fx_barcode_counts GROUP BY 1""",
+    "fx_skewed_counts": """
+        SELECT concat('z', lpad(cast(g AS string), 6, '0')) AS barcode, count(*) AS reads
+        FROM (SELECT cast(floor(2000e0 / (1 + l_partkey)) AS int) AS g FROM lineitem) s GROUP BY 1""",
     "fx_base_calls": f"""
         SELECT concat('c', lpad(cast(l_suppkey AS string), 6, '0')) AS cell,
                CASE l_returnflag WHEN 'R' THEN 'chr1' WHEN 'A' THEN 'chr2' ELSE 'chrX' END AS chrom,
@@ -134,9 +139,9 @@ FIXTURES: dict[str, str] = {
         SELECT DISTINCT chrom, 0 AS start, 4000 AS end FROM fx_sites""",
     "fx_context_counts": """
         SELECT cell, context, mc, cov, number,
-               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 1000.0, 6) END AS genome_cov,
-               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 900.0, 6) END AS genome_cov_raw_umi,
-               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 800.0, 6) END AS genome_cov_new_umi,
+               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 1000e0, 6) END AS genome_cov,
+               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 900e0, 6) END AS genome_cov_raw_umi,
+               CASE WHEN n % 3 = 0 THEN NULL ELSE round(cov / 800e0, 6) END AS genome_cov_new_umi,
                CASE WHEN n % 3 = 0 THEN NULL ELSE round(mc / cast(cov AS double), 6) END AS cell_saturation
         FROM (SELECT cell, context, cast(sum(mc) AS bigint) AS mc, cast(sum(cov) AS bigint) AS cov, count(*) AS number,
                      count(*) + ascii(substr(context, 2, 1)) AS n
@@ -147,7 +152,7 @@ FIXTURES: dict[str, str] = {
 }
 
 DIALECTS = {
-    "spark": {"days": "datediff(cast(l_shipdate AS date), date'1992-01-01')", "div": "({} div {})"},
+    "spark": {"days": "datediff(cast(l_shipdate AS date), date'1992-01-01')", "div": "(({}) div {})"},
     "duckdb": {
         "days": "cast(cast(l_shipdate AS date) - date '1992-01-01' AS int)",
         "div": "(({}) // {})",
@@ -155,7 +160,7 @@ DIALECTS = {
 }
 
 _DIV = re.compile(r"\{div:([^:}]+):([^:}]+)\}")
-_NAME = re.compile(r"\bfx_[a-z_]+\b")
+_NAME = re.compile(r"\b[fo]x_[a-z0-9_]+\b")
 
 
 def render(sql: str, dialect: str) -> str:
@@ -168,7 +173,8 @@ def _needed(sql: str, seen: list[str]) -> list[str]:
     for name in _NAME.findall(sql):
         if name in FIXTURES and name not in seen:
             _needed(FIXTURES[name], seen)
-            seen.append(name)
+            if name not in seen:
+                seen.append(name)
     return seen
 
 

@@ -22,22 +22,25 @@ def match_exact(reads: DataFrame, whitelist: DataFrame, barcode: str = "ocb") ->
     return reads.join(listed, barcode, "left").withColumn("is_exact", F.coalesce("hit", F.lit(False))).drop("hit")
 
 
-def substitution_neighbours(observed: DataFrame, barcode: str = "ocb", *, base: str | None = None) -> DataFrame:
-    """All single substitutions of ``base`` (default: the barcode itself), as column ``cb``.
+def substitution_neighbours(
+    barcodes: DataFrame, source: str = "ocb", out: str = "cb", *, alphabet: str = "ACGT", first_n: bool = True
+) -> DataFrame:
+    """All single substitutions of ``source``, as column ``out``.
 
-    A barcode with an N only has its first N replaced: any other change keeps
-    the N, and dictionary entries have none.
+    With ``first_n`` a barcode with an N only has its first N replaced: any
+    other change keeps the N, and dictionary entries have none.
     """
-    base = base or barcode
-    text = F.col(base)
-    first_n = F.instr(text, "N")
-    positions = F.when(first_n > 0, F.array(first_n)).otherwise(F.sequence(F.lit(1), F.length(text)))
+    text = F.col(source)
+    positions = F.sequence(F.lit(1), F.length(text))
+    if first_n:
+        at_n = F.instr(text, "N")
+        positions = F.when(at_n > 0, F.array(at_n)).otherwise(positions)
     return (
-        observed.withColumn("_at", F.explode(positions))
-        .withColumn("_alt", F.explode(F.array(*[F.lit(b) for b in "ACGT"])))
+        barcodes.withColumn("_at", F.explode(positions))
+        .withColumn("_alt", F.explode(F.array(*[F.lit(b) for b in alphabet])))
         .where(F.substr(text, F.col("_at"), F.lit(1)) != F.col("_alt"))
         .withColumn(
-            "cb",
+            out,
             F.concat(F.substr(text, F.lit(1), F.col("_at") - 1), F.col("_alt"), F.substr(text, F.col("_at") + 1)),
         )
         .drop("_at", "_alt")
@@ -52,7 +55,7 @@ def correct_hamming1(observed: DataFrame, whitelist: DataFrame, barcode: str = "
     """
     listed, _ = broadcast_if_small(whitelist.select("cb").distinct())
     return _decide(
-        substitution_neighbours(observed.select(barcode), barcode).join(listed, "cb"), barcode
+        substitution_neighbours(observed.select(barcode), barcode, "cb").join(listed, "cb"), barcode
     )
 
 
@@ -71,25 +74,31 @@ def _decide(candidates: DataFrame, barcode: str) -> DataFrame:
 def nearest_within(observed: DataFrame, whitelist: DataFrame, distance: int, barcode: str = "ocb") -> DataFrame:
     """Every dictionary entry at the smallest distance ``<= distance``: ``(ocb, cb, dist)``.
 
-    Grows the neighbourhood one substitution per round and probes the dictionary
-    by hash; barcodes that found a match leave, so the larger rounds only see the
-    rest. No dictionary segment is ever joined to all its look-alikes.
+    Meets in the middle: for distance d the observed barcodes take ceil(d/2)
+    substitutions and the dictionary floor(d/2), and equal strings are joined by
+    hash. The expansion per barcode is fixed, so no dictionary segment is ever
+    joined to all its look-alikes. Barcodes that found a match leave, so the
+    wider rounds only see the rest.
     """
-    listed, _ = broadcast_if_small(whitelist.select("cb").distinct())
-    frontier = observed.select(barcode, F.col(barcode).alias("near"))
+    mine = observed.select(barcode, F.col(barcode).alias("near"))
+    theirs = whitelist.select("cb", F.col("cb").alias("near")).distinct()
     found = None
     for dist in range(1, distance + 1):
-        frontier = (
-            substitution_neighbours(frontier, barcode, base="near")
-            .select(barcode, F.col("cb").alias("near"))
-            .distinct()
-        )
-        hits = frontier.join(listed.withColumnRenamed("cb", "near"), "near").select(
-            barcode, F.col("near").alias("cb"), F.lit(dist).alias("dist")
-        )
-        found = hits if found is None else found.unionByName(hits)
+        if dist % 2:
+            mine = substitution_neighbours(mine.withColumnRenamed("near", "from"), "from", "near").drop("from")
+            mine = mine.distinct() if dist > 1 else mine
+        else:
+            # An N stands for a second unknown base of the observed barcode.
+            theirs = substitution_neighbours(
+                theirs.withColumnRenamed("near", "from"), "from", "near", alphabet="ACGTN", first_n=False
+            ).drop("from")
+            theirs = theirs.distinct() if dist > 2 else theirs
+        listed, _ = broadcast_if_small(theirs)
+        hits = mine.join(listed, "near").select(barcode, "cb").distinct().withColumn("dist", F.lit(dist))
         if dist < distance:
-            frontier = frontier.join(hits.select(barcode).distinct(), barcode, "left_anti")
+            hits = materialize(hits, "barcode-hits")
+            mine = mine.join(hits.select(barcode).distinct(), barcode, "left_anti")
+        found = hits if found is None else found.unionByName(hits)
     return found
 
 

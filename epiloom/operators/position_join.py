@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, materialize
 
 BLOCK_WIDTH = 131_072
 ROWS_PER_SALT = 2_000_000
@@ -41,7 +41,8 @@ def join_sites(
     loads = dim.groupBy(*block).agg(
         F.ceil(F.sum("n_obs") / rows_per_salt).cast("int").alias("salts")
     )
-    loads, _ = broadcast_if_small(loads)
+    # Read three times below; one row per block, so writing it costs little.
+    loads, _ = broadcast_if_small(materialize(loads, "block-loads"))
 
     big = (
         encoded.withColumn("block", block_of)

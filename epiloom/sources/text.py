@@ -122,21 +122,25 @@ def cell_from_path(path: Column | str) -> Column:
     return F.regexp_replace(name, r"(_allc)?(\.(tsv|txt))?(\.gz)?(\.count\.csv)?$", "")
 
 
-def read_sites(spark: SparkSession, paths: str | list[str], *, mode: str = "drop") -> DataFrame:
+def read_sites(
+    spark: SparkSession, paths: str | list[str], *, mode: str = "drop", cell_pattern: str | None = None
+) -> DataFrame:
     """ALLC files -> ``cell, chrom, pos, strand, context, mc, cov, n_fields``.
 
-    Tab-separated, no header, at least six fields; the cell comes from the file
-    name. Bad rows are dropped, or an error with ``mode="fail"``.
+    Tab-separated, no header, at least six fields. The cell comes from the file
+    name, or from the first group of ``cell_pattern`` in the path. Bad rows are
+    dropped, or an error with ``mode="fail"``.
     """
     if mode not in ("drop", "fail"):
         raise ValueError("mode must be 'drop' or 'fail'")
     parts = F.split(F.col("text"), "\t")
+    cell = F.regexp_extract("path", cell_pattern, 1) if cell_pattern else cell_from_path("path")
     rows = (
         _lines(spark, paths)
         .withColumn("text", _stripped())
         .where((F.col("text") != "") & ~F.startswith("text", F.lit("#")))
         .select(
-            cell_from_path("path").alias("cell"),
+            cell.alias("cell"),
             parts.getItem(0).alias("chrom"),
             F.get(parts, F.lit(1)).try_cast("int").alias("pos"),
             F.get(parts, F.lit(2)).alias("strand"),

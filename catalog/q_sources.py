@@ -188,7 +188,7 @@ def src_gather_chunks(t):
     odd = write_sites(t, t.fx_sites.where("cast(substr(cell, 2) AS int) % 2 = 1"))
     pattern = "cell=([^/]+)/"
     gathered = tx.read_sites(t.spark, [even, odd], cell_pattern=pattern)
-    files = t.spark.read.format("binaryFile").load([even, odd]).select(
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load([even, odd]).select(
         F.regexp_extract("path", pattern, 1).alias("cell"), F.regexp_extract("path", "^(.*/)cell=", 1).alias("path")
     )
     cl.reject_duplicates(files)
@@ -249,8 +249,8 @@ def snk_vmr_bed(t):
 
 
 @query("snk_sparse_matrix", """
-    SELECT cell_idx + 1 AS row_i, region_idx + 1 AS col_i, round(cast(cast(resid AS float) AS double), 2) AS residual, n_total AS coverage,
-           cast(0 AS bigint) AS too_long
+    SELECT cell_idx + 1 AS row_i, region_idx + 1 AS col_i, coalesce(printf('%.4g', cast(cast(resid AS float) AS double)), '') AS residuals,
+           printf('%.4g', cast(cast(mfrac AS float) AS double)) AS mfracs, n_total AS coverage
     FROM ox_region_cell r JOIN fx_all_cells c ON r.cell = c.cell""")
 def snk_sparse_matrix(t):
     path = t.path("matrix")
@@ -258,17 +258,14 @@ def snk_sparse_matrix(t):
     matrix = me.region_matrix(t.fx_encoded, smoothed, t.fx_regions, t.fx_all_cells)
     sk.write_sparse_matrix(matrix, rg.index_regions(t.fx_regions, smoothed), t.fx_all_cells, path)
     part = F.split("value", " ")
-    digits = F.length(F.regexp_replace(F.regexp_replace(part[2], "e.*$", ""), r"^-?0*\.?0*|[.-]", ""))
-    read = t.spark.read.text(f"{path}/matrix.mtx")
-    return read.select(
+    return t.spark.read.text(f"{path}/matrix.mtx").select(
         part[0].cast("int").alias("row_i"), part[1].cast("int").alias("col_i"),
-        F.round(F.nullif(part[2], F.lit("")).cast("double"), 2).alias("residual"), part[4].cast("bigint").alias("coverage"),
-        F.when(digits > 4, 1).otherwise(0).cast("bigint").alias("too_long"),
+        part[2].alias("residuals"), part[3].alias("mfracs"), part[4].cast("bigint").alias("coverage"),
     )
 
 
 @query("snk_dense_matrix", """
-    SELECT kind, cell, concat(chrom, ':', start, '-', "end") AS region, round(CASE kind WHEN 'fraction' THEN coalesce(mfrac, 0) WHEN 'residual' THEN resid
+    SELECT kind, c.cell, concat(chrom, ':', start, '-', "end") AS region, round(CASE kind WHEN 'fraction' THEN coalesce(mfrac, 0) WHEN 'residual' THEN resid
                WHEN 'total' THEN coalesce(n_total, 0) ELSE coalesce(n_meth, 0) END, 6) AS value
     FROM (SELECT unnest(['fraction', 'residual', 'total', 'methylated']) AS kind) k, fx_all_cells c, ox_region_index i
     LEFT JOIN ox_region_cell r ON r.cell = c.cell AND r.region_idx = i.region_idx""")

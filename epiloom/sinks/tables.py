@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rates import or_na
@@ -73,16 +73,18 @@ def write_vmr_bed(vmrs: DataFrame, sizes: DataFrame, path: str, header: bool = F
     write_tsv(vmr_bed(vmrs, sizes), path, header)
 
 
-def general_4(column: str):
-    """``%.4g`` as text: four significant digits, exponent form outside [1e-4, 1e4), '' for NULL."""
+def general_4(column: str) -> Column:
+    """``%.4g`` as text: four significant digits (ties to even), exponent form outside [1e-4, 1e4), '' for NULL."""
     value = F.col(column).cast("double")
-    exponent = F.floor(F.log10(F.abs(value)))
-    # Rounding to four digits may carry into the next power of ten.
-    rounded = F.when(value == 0, F.lit(0.0)).otherwise(F.format_string("%.3e", value).cast("double"))
+    magnitude = F.floor(F.log10(F.abs(value)))
+    scale = F.pow(F.lit(10.0), 3 - magnitude)
+    rounded = F.when(value == 0, F.lit(0.0)).otherwise(F.rint(value * scale) / scale)
+    # Rounding may carry into the next power of ten.
     exponent = F.when(rounded == 0, F.lit(0)).otherwise(F.floor(F.log10(F.abs(rounded)) + 1e-12))
     tidy = lambda text: F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+(?=$|e)", "$1"), r"\.(?=$|e)", "")
-    plain = F.round(rounded, 8).cast("decimal(24,8)").cast("string")
-    text = F.when((exponent < -4) | (exponent >= 4), F.format_string("%.3e", rounded)).otherwise(plain)
+    text = F.when((exponent < -4) | (exponent >= 4), F.format_string("%.3e", rounded)).otherwise(
+        rounded.cast("decimal(24,8)").cast("string")
+    )
     return F.when(value.isNull() | F.isnan(value), F.lit("")).otherwise(tidy(text))
 
 

@@ -14,7 +14,7 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     A split is read in order by one task, so (start of the split, id within the
     task) orders the lines of a file however it was split.
     """
-    return spark.read.text(paths).select(
+    return spark.read.option("recursiveFileLookup", True).text(paths).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -164,7 +164,7 @@ def read_sites(
 
 def site_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``cell, path`` of the site files, from file listing metadata only."""
-    listing = spark.read.format("binaryFile").load(paths).select("path")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
     return listing.select(cell_from_path("path").alias("cell"), "path")
 
 

@@ -91,7 +91,8 @@ FIXTURES: dict[str, str] = {
                      CASE WHEN l_returnflag = 'A' THEN 'T' ELSE 'C' END AS i3,
                      CASE WHEN l_suppkey % 20 = 0 THEN 'C' ELSE 'T' END AS b1,
                      CASE WHEN l_suppkey % 33 = 0 THEN 'A' ELSE 'T' END AS b2
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) a) b) c""",
+              FROM (SELECT /*+ REPARTITION(l_orderkey) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, o_custkey
+                    FROM lineitem JOIN orders ON l_orderkey = o_orderkey) j) a) b) c""",
     "fx_alignments": f"""
         SELECT cast(l_orderkey AS string) AS read_name,
                CASE WHEN l_partkey % 29 = 0 THEN NULL

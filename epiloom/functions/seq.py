@@ -113,6 +113,24 @@ def one_mismatch_pattern(adapter: str) -> str:
     return f"(?:{error_right}|{error_left})"
 
 
+def half_anchored_patterns(adapter: str) -> tuple[str, str, int]:
+    """Search patterns for ``adapter`` with at most one substitution: (left, right, shift).
+
+    One half is always free of errors. Each pattern starts with that half as
+    plain text, which the regex engine finds by skipping, and only then tests
+    the other half: ``left`` matches at the placement, ``right`` at ``shift``
+    bases into it (the error-free right half, looking back).
+    """
+    bases = _bases(adapter)
+    half = len(bases) // 2
+    left, right = "".join(bases[:half]), "".join(bases[half:])
+    return (
+        left + _any_one_replaced(bases[half:]),
+        f"{right}(?<={_any_one_replaced(bases[:half])}{right})",
+        half,
+    )
+
+
 def _partial_placements(adapter: str) -> list[tuple[int, int]]:
     """(overlap, mismatches) allowed at a read end, best score (overlap - 2 * mismatches) first."""
     allowed = [
@@ -159,15 +177,20 @@ def with_adapter_match(
     edge, piece = (column, adapter) if end == "5" else (F.reverse(column), adapter[::-1])
     strong = (m - 1, m - 2) if end == "5" else (m - 1,)
     strong_pattern = "^(?:" + "|".join(exact_pattern(piece[-n:]) for n in strong) + ")"
+    left, right, shift = half_anchored_patterns(adapter)
     df = staged(
         df,
-        _near=F.regexp_instr(column, F.lit(one_mismatch_pattern(adapter))),
+        _left=F.regexp_instr(column, F.lit(left)),
+        _right=F.regexp_instr(column, F.lit(right)),
         _exact=F.regexp_instr(column, F.lit(exact_pattern(adapter))),
         _part=F.length(F.regexp_extract(edge, _partial_pattern(piece), 0)),
         _strong=edge.rlike(strong_pattern),
     )
-    near, exact, part, strong_hit = (F.col(c) for c in ("_near", "_exact", "_part", "_strong"))
-    full = F.when(near == 0, None).when((exact > 0) & (exact <= near + m // 2), exact).otherwise(near)
+    exact, part, strong_hit = (F.col(c) for c in ("_exact", "_part", "_strong"))
+    near = F.least(  # NULL when neither half was found
+        F.when(F.col("_left") > 0, F.col("_left")), F.when(F.col("_right") > 0, F.col("_right") - shift)
+    )
+    full = F.when((exact > 0) & (exact <= near + m // 2), exact).otherwise(near)
     if end == "5":
         # The partial placement comes first; a full one must score strictly more.
         full = F.when(~strong_hit, full).when(exact > 0, exact)
@@ -181,7 +204,7 @@ def with_adapter_match(
         )
         start = F.when(use_part, origin).otherwise(full - 1)
         stop = F.when(use_part, F.length(column)).otherwise(full - 1 + m)
-    return staged(df, **{start_col: start, stop_col: stop}).drop("_near", "_exact", "_part", "_strong")
+    return staged(df, **{start_col: start, stop_col: stop}).drop("_left", "_right", "_exact", "_part", "_strong")
 
 
 def _trim_mate(df: DataFrame, mate: str, adapter5: str, adapter3: str) -> DataFrame:

@@ -1,0 +1 @@
+"""Incremental processing of read chunks as they arrive."""

@@ -44,13 +44,13 @@ def annotate_reads(reads: DataFrame, structure: str = chem.READ_STRUCTURE) -> Da
 
     Stateless, so it also applies to a streaming DataFrame.
     """
-    return reads.select(
-        "*",
-        fx.structure_column("r1_seq", structure, "B").alias("ocb"),
-        fx.structure_column("r1_seq", structure, "U").alias("umi"),
-        fx.has_linker("r1_seq").alias("has_linker"),
-        fx.ct_counts("r1_seq", "r1_qual").alias("ct"),
-        fx.chain_direction("r1_seq").alias("chain"),
+    return fx.staged(
+        reads,
+        ocb=fx.structure_column("r1_seq", structure, "B"),
+        umi=fx.structure_column("r1_seq", structure, "U"),
+        has_linker=fx.has_linker("r1_seq"),
+        ct=fx.ct_counts("r1_seq", "r1_qual"),
+        chain=fx.chain_direction("r1_seq"),
     )
 
 

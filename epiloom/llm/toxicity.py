@@ -40,7 +40,7 @@ MAX_TERMS = 4_096
 MAX_EXAMPLES = 20_000
 MIN_TOXIC_ROWS = 4
 MIN_Z = 4.2
-MIN_LIFT = 6.0  # of a term's rate among toxic rows over that among the others
+MIN_LIFT = 1.5  # of a term's rate among toxic rows over that among the others
 STEMS = (4, 5, 6)
 NEIGHBOURS = 16
 BLOCK = 64

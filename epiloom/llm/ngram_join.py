@@ -1,19 +1,20 @@
 """N-gram Jaccard self-join of documents: size-banded tiles, bitmap signatures, exact intersections.
 
 1. Every text becomes its set of k-word shingles. Texts with the same set are one node.
-2. Candidates: with the shingles of a set in a global order, two sets that link share one of their first
-   ``n - ceil(t n) + 1``. The order is by hash, but shingles that are frequent come last, so passages that many
-   documents share give no candidates. Which ones count as frequent is only a hint; any order is exact.
-3. Nodes next to each other in the (size-ordered) run of a prefix shingle are joined by an edge if their sizes are
-   compatible. Every link lies within a connected component ("cluster") of these edges, and their number is at
-   most that of the prefix shingles.
+2. Candidates: sizes fall into bands, and a band cuts the hash range into more parts than two linked sets of that band
+   (or of it and the one below) can have differences. So two sets that link agree in a whole part, and parts hold
+   several shingles: a shared passage alone does not fill one. Parts that are empty count only for sets with unusually
+   many of them, which keeps the argument exact.
+3. Nodes with an equal part get an edge: within a batch from the first node of the part to the others, and across
+   batches between neighbours in the run of a part. Every link lies within a connected component ("cluster") of these
+   edges, and their number is at most that of the parts.
 4. Clusters are dealt to tiles of a bounded number of shingles. A cluster too large for one is split by size band
    (only equal or neighbouring bands can link) and, within a band, by a hash of the node.
 5. In a tile, an odd bitmap (bit = parity of the shingles that hash to it) bounds the overlap of two sets from
    above: ``(|A| + |B| - popcount(A xor B)) / 2``. Pairs that pass and aren't yet connected get an exact
    intersection of sorted arrays. A tile returns a spanning forest of its links, never all pairs.
-6. A split cluster is first compared within its blocks and with one leading block per band. What is connected by
-   then needs no comparison; only members outside the cluster's main component meet all other blocks.
+6. A split cluster is first compared within its blocks and with the first block of its own and the lower band. What is
+   connected by then needs no comparison; only members outside the cluster's main component meet the other blocks.
 
 Shingles and nodes are 64-bit hashes; sets with equal hashes count as equal.
 
@@ -38,9 +39,8 @@ from epiloom.session import materialize
 from . import textcore as tc
 from .graphs import connected_components
 
-TILE_SHINGLES = 1 << 20
-FREQUENT = 12  # documents from which a shingle goes to the end of the order
-MAX_FREQUENT = 200_000  # length of that list: an order hint of bounded size
+TILE_SHINGLES = 1 << 21
+MAP_BYTES = 1 << 26  # of the bits of a tile before they are packed
 
 
 def node_numbers(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -54,70 +54,100 @@ def _text_sets(texts: pa.Array, k: int) -> Iterator[tuple[tc.Slice, np.ndarray,
         yield part, *tc.distinct_per_row(values, bounds)
 
 
-def _prefix_sizes(n: np.ndarray, num: int, den: int) -> np.ndarray:
-    """0 where only an equal set can link."""
-    return np.where(n * den // num > n, n - -(-n * num // den) + 1, 0)
+def size_bands(largest: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first sizes of the bands, most differences of two linked sets in a band, parts of a band).
 
-
-def frequent_shingles(docs: DataFrame, text: str, k: int, num: int, den: int) -> np.ndarray:
-    """Shingles that several documents have among the low part of their hashes, most frequent first, sorted."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen, found = set(), []
-            for _, values, bounds in _text_sets(batch.column(0), k):
-                for i, node in enumerate(node_numbers(values, bounds).tolist()):
-                    if node not in seen:
-                        seen.add(node)
-                        n = bounds[i + 1] - bounds[i]
-                        found.append(values[bounds[i] : bounds[i] + (2 * n * (den - num) + den) // den])
-            if found:
-                values, counts = np.unique(np.concatenate(found), return_counts=True)
-                some = counts >= 3
-                yield pa.RecordBatch.from_arrays([pa.array(values[some].view(np.int64)), pa.array(counts[some].astype(np.int64))], names=["shingle", "n"])
-
-    rows = (
-        docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(count, "shingle long, n long")
-        .groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT)
-        .orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).select("shingle").toPandas()
-    )
-    return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
-
-
-def document_sets(docs: DataFrame, id: str, text: str, k: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """(id, n_shingles, node, prefix)."""
-    hint = docs.sparkSession.sparkContext.broadcast(frequent)
+    Sets that link are in equal or neighbouring bands.
+    """
+    starts = [1]
+    while starts[-1] <= largest:
+        s = starts[-1]
+        starts.append(max(s + 1, (s - 1) * den // num + 1, int(s * (den / num) ** 1.05)))
+    starts.append(max(starts[-1] + 1, int(starts[-1] * (den / num) ** 1.05)))
+    starts = np.array(starts, np.int64)
+    apart = 2 * (starts[1:] - 1) * (den - num) // (den + num)
+    parts = apart + 1
+    for _ in range(3):  # room for the parts that stay empty
+        parts = apart + 3 + np.ceil(2 * parts * np.exp(-(starts[:-1] * num / den) / parts)).astype(np.int64)
+    return starts, apart, parts
+
+
+def part_keys(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the parts of every set, for its own band and the next one if a larger set can link from there."""
+    n = np.diff(bounds)
+    starts, apart, parts = size_bands(int(n.max(initial=1)), num, den)
+    band = np.searchsorted(starts, n, "right") - 1
+    able = (n * den // num > n) | ((n - 1) * den >= num * (n + 1))  # else only an equal set links
+    rows, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for up in (0, 1):
+        own = np.flatnonzero(able & (n > 0) & ((up == 0) | (n * den // num >= starts[band + 1])))
+        if not len(own):
+            continue
+        scheme, size = band[own] + up, n[own]
+        at = np.repeat(bounds[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        row = np.repeat(np.arange(len(own)), size)
+        k = parts[scheme].astype(np.uint64)
+        part = (values[at] >> np.uint64(32)) * k[row] >> np.uint64(32)  # grows with the sorted values
+        opens = np.ones(len(at), bool)
+        opens[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
+        first = np.flatnonzero(opens)
+        sums = tc.row_sums(tc.mix(values[at]), np.append(first, len(at)))
+        name = lambda r, q: tc.mix(scheme[r].astype(np.uint64) << np.uint64(32) | q)
+        rows.append(own[row[first]])
+        keys.append(tc.mix(sums + name(row[first], part[first])))
+        full = np.bincount(row[first], minlength=len(own))
+        for r in np.flatnonzero(parts[scheme] - full >= parts[scheme] - apart[scheme]):
+            empty = np.setdiff1d(np.arange(parts[scheme[r]], dtype=np.uint64), part[first[row[first] == r]])
+            rows.append(np.full(len(empty), own[r]))
+            keys.append(tc.mix(name(np.full(len(empty), r), empty) ^ np.uint64(0xE0)))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def document_sets(docs: DataFrame, id: str, text: str, k: int) -> DataFrame:
+    """(id, n_shingles, node)."""
     source = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    schema = T.StructType([source.schema["id"], *T._parse_datatype_string("n_shingles long, node long, prefix array<long>").fields])
+    schema = T.StructType([source.schema["id"], *T._parse_datatype_string("n_shingles long, node long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = hint.value
         for batch in batches:
             for part, values, bounds in _text_sets(batch.column(1), k):
                 n = np.diff(bounds)
-                rows = np.repeat(np.arange(part.n), n)
-                order = np.arange(len(values))
-                if len(late):
-                    is_late = late[np.minimum(np.searchsorted(late, values), len(late) - 1)] == values
-                    order = np.lexsort((is_late, rows))
-                take = _prefix_sizes(n, num, den)
-                first = np.arange(len(values)) - np.repeat(bounds[:-1], n) < np.repeat(take, n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.n), pa.array(n, pa.int64()), pa.array(node_numbers(values, bounds), pa.int64(), mask=n == 0),
-                     tc.list_array(pa.array(values[order][first].view(np.int64)), np.concatenate([[0], np.cumsum(take)]))],
-                    names=["id", "n_shingles", "node", "prefix"],
-                )
+                    [batch.column(0).slice(part.first, part.n), pa.array(n, pa.int64()), pa.array(node_numbers(values, bounds), pa.int64(), mask=n == 0)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def candidate_edges(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): neighbours in the runs of prefix shingles."""
-    rows = sets.filter("id IS NOT NULL AND size(prefix) > 0").dropDuplicates(["node"])
-    rows = rows.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("shingle"))
-    before = F.lag(F.struct("node", "n")).over(Window.partitionBy("shingle").orderBy("n", "node"))
-    rows = rows.select("node", "n", before.alias("before")).filter(F.col("before.n") * den >= F.col("n") * num)
-    return rows.select(F.least("before.node", "node").alias("a"), F.greatest("before.node", "node").alias("b")).distinct()
+def part_rows(docs: DataFrame, id: str, text: str, k: int, num: int, den: int) -> DataFrame:
+    """(key, node): one row for each part of a batch; the batch's other nodes of the part share a key with it as pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for _, values, bounds in _text_sets(batch.column(0), k):
+                row, key = part_keys(values, bounds, num, den)
+                keys.append(key)
+                nodes.append(node_numbers(values, bounds)[row])
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            order = np.lexsort((node, key))
+            key, node = key[order], node[order]
+            opens = np.ones(len(key), bool)
+            opens[1:] = key[1:] != key[:-1]
+            lead = node[opens][np.cumsum(opens) - 1]
+            more = np.flatnonzero(node != lead)
+            pairs = np.unique(np.stack([lead[more], node[more]], 1), axis=0)
+            joint = tc.mix(tc.mix(pairs[:, 0].view(np.uint64)) + pairs[:, 1].view(np.uint64)) if len(pairs) else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([key[opens], joint, joint]).view(np.int64)), pa.array(np.concatenate([node[opens], pairs[:, 0], pairs[:, 1]]))], names=["key", "node"])
+
+    known = docs.filter(F.col(f"`{id}`").isNotNull())
+    return known.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, "key long, node long")
+
+
+def candidate_edges(rows: DataFrame) -> DataFrame:
+    """(a, b): neighbours in the run of a key."""
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
+    return rows.select(before.alias("a"), F.col("node").alias("b")).filter("a IS NOT NULL AND a <> b")
 
 
 class _Forest:
@@ -136,6 +166,8 @@ def linked(sets: list[np.ndarray], components: list, x: np.ndarray, y: np.ndarra
     order = np.argsort(n, kind="stable")
     sizes = n[order]
     width = 1 << max(6, int(n.max(initial=1)).bit_length())
+    while len(sets) * width > MAP_BYTES and width > 64:
+        width //= 2  # a narrower map is a weaker bound
     bits = np.zeros((len(sets), width), np.uint8)
     for i, at in enumerate(order):
         bits[i] = np.bincount((sets[at] & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
@@ -208,9 +240,8 @@ def components(
     tile_shingles: int = TILE_SHINGLES,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every document; two link when ``den * intersection >= num * union``."""
-    frequent = frequent_shingles(docs, text, k, num, den)
-    sets = materialize(document_sets(docs, id, text, k, num, den, frequent), "sets")
-    clusters = connected_components(candidate_edges(sets, num, den)).withColumnRenamed("component", "cluster")
+    sets = materialize(document_sets(docs, id, text, k), "sets")
+    clusters = connected_components(candidate_edges(part_rows(docs, id, text, k, num, den))).withColumnRenamed("component", "cluster")
     known = sets.filter("id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"))
     band = F.floor(F.log(F.col("n").cast("double")) / log(den / num)).cast("long")
     members = materialize(clusters.join(known, "node").withColumn("band", band), "members")
@@ -249,16 +280,20 @@ def _remaining_links(docs, large, links, text, id, k, num, den, tile_shingles) -
     counts = state.groupBy("cluster", "component").agg(F.count("*").alias("c"))
     main = counts.groupBy("cluster").agg(F.max(F.struct("c", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
     outer = state.join(main, "cluster").filter("component <> main").drop("main")
-    outer_blocks, blocks = _blocks(outer, tile_shingles), _blocks(state, tile_shingles)
-    key = lambda a, i, b, j: F.concat_ws(":", F.col("cluster"), a, i, b, j)
-    to = F.explode(F.sequence(F.lit(0).cast("long"), F.col("there") - 1)).alias("to")
-    around = [-1, 0, 1]
-    xs = outer.join(outer_blocks, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    xs = xs.join(_near_bands(blocks, around, "there"), ["cluster", "band"]).select("*", to)
-    xs = xs.select("id", "node", "cluster", "component", key("band", F.col("block"), F.col("other"), F.col("to")).alias("tile"), F.lit(True).alias("x"), F.lit(False).alias("y"))
-    ys = state.join(blocks, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    ys = ys.join(_near_bands(outer_blocks, around, "there"), ["cluster", "band"]).select("*", to)
-    ys = ys.select("id", "node", "cluster", "component", key("other", F.col("to"), F.col("band"), F.col("block")).alias("tile"), F.lit(False).alias("x"), F.lit(True).alias("y"))
+    blocks = _blocks(state, tile_shingles)
+    place = lambda rows: rows.join(blocks, ["cluster", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    around = _near_bands(blocks, [-1, 0, 1], "there")
+
+    def deal(rows: DataFrame, is_x: bool) -> DataFrame:
+        """Each row to every tile of its block with another block that the first comparison has not paired."""
+        far = place(rows).join(around, ["cluster", "band"]).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("there") - 1)).alias("to"))
+        band, block, other, to = (F.col(c) for c in ("band", "block", "other", "to"))
+        done = ((band == other) & ((block == to) | (block == 0) | (to == 0))) | ((other == band + 1) & (block == 0)) | ((band == other + 1) & (to == 0))
+        ends = (band, block, other, to) if is_x else (other, to, band, block)
+        return far.filter(~done).select("id", "node", "cluster", "component", F.concat_ws(":", "cluster", *ends).alias("tile"), F.lit(is_x).alias("x"), F.lit(not is_x).alias("y"))
+
+    xs, ys = deal(outer, True), deal(state, False)
+    ys = ys.join(xs.select("tile").distinct(), "tile", "left_semi")
     return materialize(tile_links(docs, xs.unionByName(ys), text, id, k, num, den), "links")
 
 

@@ -18,6 +18,9 @@ RUNTIME_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# While a table is written: the shuffle files of its query go when it ends, as nothing reads them again.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -71,10 +74,15 @@ def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    try:
+        spark.conf.set(FREE_SHUFFLES, "true")
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

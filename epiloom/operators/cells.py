@@ -142,15 +142,16 @@ def median_cell(
     return ranked.where(F.col("rank") == F.floor(F.col("n") / 2) + 1).drop("rank", "n")
 
 
-def sample_cells(counts: DataFrame, available: DataFrame, *, threshold: float = 100, max_cells: int = 100, seed: int = 42) -> DataFrame:
-    """At most ``max_cells`` cells with more than ``threshold`` reads and data, in a seeded hash order."""
+def sample_cells(
+    counts: DataFrame, available: DataFrame, *, threshold: float = 100, max_cells: int | None = None, seed: int = 42
+) -> DataFrame:
+    """All cells with more than ``threshold`` reads and data; ``max_cells`` draws that many in a seeded hash order."""
+    good = good_cells(counts, available, threshold)
+    if max_cells is None:
+        return good
     if max_cells <= 0:
         raise ValueError("max_cells must be > 0")
-    return (
-        good_cells(counts, available, threshold)
-        .orderBy(F.xxhash64(F.lit(seed), F.col("barcode")), "barcode")
-        .limit(max_cells)
-    )
+    return good.orderBy(F.xxhash64(F.lit(seed), F.col("barcode")), "barcode").limit(max_cells)
 
 
 def good_cells(counts: DataFrame, available: DataFrame, threshold: float = 100) -> DataFrame:

@@ -43,7 +43,6 @@ def band_join(positions: DataFrame, reach: int, *, by: Sequence[str] = ()) -> Da
     Positions hash to bins of width ``reach``; the neighbour side is copied into
     the (at most three) bins its band touches. A bin holds at most ``reach``
     positions, so no key grows with the data and no chromosome lands in one task.
-    Both sides come from the same aggregate, whose exchange Spark reuses.
     """
     keys = [*by, "chrom", "bin"]
     bin_of = lambda c: F.floor(c / reach)

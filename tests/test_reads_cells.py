@@ -162,3 +162,36 @@ def test_new_chunks_are_processed_once(spark, tmp_path):
         p = f.barcode_passed
         assert f.total == f.barcode_rejected + f.barcode_ambiguous + p.total
         assert p.total == p.unknown_chain + p.too_short + p.chimeric_filtered.total + p.valid.total
+
+
+def test_sidecars_by_their_own_headers(spark, tmp_path):
+    from epiloom.sources.reports import read_context_counts
+
+    (tmp_path / "AAA_allc.gz.count.csv").write_text(",mc,cov,number\nCGA,1,10,5\n")
+    (tmp_path / "BBB_allc.gz.count.csv").write_text(",cov,mc,number,extra\nCGA,10,1,5,0.5\n\n")
+    got = {r.cell: (r.context, r.mc, r["cov"], r.number, r.extra) for r in read_context_counts(spark, str(tmp_path)).collect()}
+    assert got == {"AAA": ("CGA", 1, 10, 5, None), "BBB": ("CGA", 1, 10, 5, 0.5)}
+
+
+def test_fit_without_points_is_null(spark):
+    from epiloom.operators import saturation as sat
+    from epiloom.plans.saturation import summarize_fit
+
+    none = spark.createDataFrame([], "fraction double, median double")
+    row = summarize_fit(sat.saturation_fit(sat.linear_fit(none))).first()
+    assert row.asDict() == dict.fromkeys(row.asDict())
+
+
+def test_all_good_cells_by_default(spark):
+    from epiloom.operators import cells as cl
+
+    counts = spark.createDataFrame([(f"b{i}", 200) for i in range(150)], "barcode string, reads long")
+    assert cl.sample_cells(counts, counts.selectExpr("barcode AS cell")).count() == 150
+
+
+def test_short_rows_do_not_count_as_mitochondrial(spark):
+    from epiloom.operators.sites import mito_rate
+
+    rows = [("a", "chrM", "CGA", 1, 2, 7), ("a", "chrM", "CGA", 5, 5, 6)]
+    got = mito_rate(spark.createDataFrame(rows, "cell string, chrom string, context string, mc long, cov long, n_fields int")).first()
+    assert (got.mito_mc, got.mito_cov) == (1, 2)

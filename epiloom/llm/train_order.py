@@ -7,7 +7,7 @@ they are back, which makes it a permutation of exactly the sequences. Shard ``s`
 can resume anywhere.
 
 A shard is written by one task to a name of its own and then renamed, so a repeated or lost task leaves whole shards
-only. Tasks hold one record at a time.
+only. Tasks hold one record at a time. Sequences are deflated one by one for the shuffle, which then writes less.
 
 The numbering reads the table twice; a partition that differs between the readings fails the job. Pass a written table.
 
@@ -21,6 +21,7 @@ import hashlib
 import posixpath
 import struct
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,6 +87,11 @@ def ordered(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
     return here.withColumn("slot", slot(number)).drop("p", "__m", "__n", "first", "size"), total
 
 
+@F.pandas_udf(T.BinaryType())
+def deflated(ids: pd.Series) -> pd.Series:
+    return ids.map(lambda data: zlib.compress(data, 1, wbits=-zlib.MAX_WBITS))
+
+
 def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int = 1, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
     """Writes the shards when it runs; returns the key columns, slot, shard, byte_offset, n_tokens, ids_sha256 per sequence.
 
@@ -125,7 +131,7 @@ def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int =
                 if slot != expected:
                     raise ValueError(f"slot {expected} is missing")
                 expected += 1
-                data = ids[i].as_py()
+                data = zlib.decompress(ids[i].as_py(), wbits=-zlib.MAX_WBITS)
                 out.write(struct.pack("<I", len(data) // item_bytes) + data.ljust(length * item_bytes, b"\0"))
                 offsets.append(HEADER + (slot % per_shard) * stride)
                 sizes.append(len(data) // item_bytes)
@@ -136,7 +142,7 @@ def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int =
         finish()
 
     # the slots are dense, so the range of every shard is known without sampling
-    dealt = placed.withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
+    dealt = placed.withColumn("ids", deflated("ids")).withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
     dealt = dealt.sortWithinPartitions("slot").drop("__shard")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)

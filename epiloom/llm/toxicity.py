@@ -17,8 +17,8 @@ The labelled sample is bounded (``max_labels``, by a hash of the id), and so are
 frequencies count every document.
 
 Defined results: NULL and empty texts are texts without terms; labelled rows with NULL label or id are not used, and
-of several labels of one id the largest holds; without any usable label the score is 0; repeated rows score alike;
-columns of the input whose names clash with an output column are replaced.
+of several labels of one id the largest holds; without any usable label, or a document that has one, the score is 0;
+repeated rows score alike; columns of the input whose names clash with an output column are replaced.
 """
 
 from __future__ import annotations
@@ -220,7 +220,7 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["number", "df", "clean", "toxic"])
 
     counts = source.mapInArrow(frequencies, "number long, df long, clean long, toxic long").groupBy("number").agg(*[F.sum(c).alias(c) for c in ("df", "clean", "toxic")]).toPandas()
-    sizes = counts[counts.number == -1].iloc[0]
+    sizes = counts[counts.number == -1].sum()  # zeros without documents
     counts = counts[counts.number >= 0].sort_values("number")
     n, n0, n1 = float(sizes.df), float(sizes.clean), float(sizes.toxic)
     z = _lean(counts.toxic.to_numpy(float), counts.clean.to_numpy(float), n1, n0)

@@ -48,7 +48,7 @@ FIXTURES: dict[str, str] = {
     "fx_all_cells": """
         SELECT concat('c', lpad(cast(s_suppkey AS string), 6, '0')) AS cell,
                cast(row_number() OVER (ORDER BY s_suppkey) - 1 AS int) AS cell_idx
-        FROM (SELECT s_suppkey FROM supplier UNION ALL SELECT 0 AS s_suppkey) s""",
+        FROM (SELECT s_suppkey FROM supplier UNION ALL SELECT -1 AS s_suppkey) s""",
     "fx_whitelist": f"""
         SELECT DISTINCT substr({dna("concat('c', cast(c_custkey AS string))")}, 1, 17) AS cb FROM customer""",
     "fx_reads": f"""

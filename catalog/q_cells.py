@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from epiloom.functions.seq import cell_from_read_name
@@ -93,24 +94,23 @@ def join_exclude_anti(t):
 
 
 @query("set_except_missing", """
-    SELECT cell FROM fx_all_cells EXCEPT SELECT cell FROM fx_sites WHERE chrom = 'chr1' AND pos % 400 = 0""")
+    SELECT cell FROM fx_all_cells EXCEPT SELECT cell FROM fx_sites""")
 def set_except_missing(t):
-    return cl.without_data(t.fx_all_cells, t.fx_sites.where("chrom = 'chr1' AND pos % 400 = 0"))
+    return cl.without_data(t.fx_all_cells, t.fx_sites)
 
 
-FR = "SELECT cell, count(*) AS n FROM fx_alignments WHERE cell IS NOT NULL AND strand = '{0}' AND b_start {1} GROUP BY cell"
+# barcodes of a cell and a start, so that many occur on one strand only
+FR = "SELECT concat_ws(':', cell, b_start) AS cell, count(*) AS n FROM fx_alignments WHERE cell IS NOT NULL AND strand = '{0}' GROUP BY 1"
 
 
 @query("join_fr_full_outer", f"""
     SELECT coalesce(f.cell, r.cell) AS cell, f.cell IS NOT NULL AS has_forward, r.cell IS NOT NULL AS has_reverse,
            coalesce(f.n, 0) + coalesce(r.n, 0) AS reads_counts
-    FROM ({FR.format('forward', '< 3')}) f FULL OUTER JOIN ({FR.format('reverse', '< 5')}) r ON f.cell = r.cell""")
+    FROM ({FR.format('forward')}) f FULL OUTER JOIN ({FR.format('reverse')}) r ON f.cell = r.cell""")
 def join_fr_full_outer(t):
-    al = t.fx_alignments.where("cell IS NOT NULL")
+    al = t.fx_alignments.where("cell IS NOT NULL").withColumn("cell", F.concat_ws(":", "cell", "b_start"))
     count = lambda df: df.groupBy("cell").agg(F.count(F.lit(1)).alias("reads_counts"))
-    return cl.merge_strands(
-        count(al.where("strand = 'forward' AND b_start < 3")), count(al.where("strand = 'reverse' AND b_start < 5"))
-    )
+    return cl.merge_strands(count(al.where("strand = 'forward'")), count(al.where("strand = 'reverse'")))
 
 
 @query("set_union_barcodes", """
@@ -120,7 +120,6 @@ def join_fr_full_outer(t):
       GROUP BY cell) g""")
 def set_union_barcodes(t):
     merged = cl.union_cells(t.fx_even_cells, t.fx_third_cells, order="ord")
-    from pyspark.sql import Window
 
     return merged.select("cell", F.row_number().over(Window.orderBy("seen", "cell")).alias("nth"))
 
@@ -140,12 +139,15 @@ def fx_cell_from_read_name(t):
 
 
 @query("srt_name_sort", """
-    SELECT cell, count(*) AS n, min(read_name) AS first_name, max(read_name) AS last_name
+    SELECT cell, count(*) AS n, min(read_name) AS first_name, max(read_name) AS last_name, true AS in_order
     FROM fx_alignments WHERE cell IS NOT NULL GROUP BY cell""")
 def srt_name_sort(t):
-    ordered = cl.name_sorted(t.fx_alignments.where("cell IS NOT NULL"))
-    return ordered.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("read_name").alias("first_name"), F.max("read_name").alias("last_name")
+    """Read by their places in the output, so that another order gives other rows."""
+    placed = cl.name_sorted(t.fx_alignments.where("cell IS NOT NULL")).withColumn("place", F.monotonically_increasing_id())
+    before = F.lag("read_name").over(Window.partitionBy("cell").orderBy("place"))
+    return placed.withColumn("before", before).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("read_name", "place").alias("first_name"), F.max_by("read_name", "place").alias("last_name"),
+        F.bool_and(F.coalesce(F.col("before") <= F.col("read_name"), F.lit(True))).alias("in_order"),
     )
 
 
@@ -163,7 +165,6 @@ def win_median_cell(t):
 def snk_count_tables(t):
     path = t.path("counts")
     sk.write_count_table(t.fx_skewed_counts, path)
-    from pyspark.sql import Window
 
     back = t.spark.read.option("header", True).csv(path)
     in_file_order = Window.orderBy(F.col("path"), F.col("line_id"))

@@ -336,9 +336,9 @@ def snk_prefix_shards(t):
 
 
 @query("set_regroup_shards", """
-    SELECT rid, left(cb, 2) AS prefix, chain, r1_seq FROM ox_fate WHERE fate = 'valid' AND left(cb, 2) IN ('TG', 'GA')""")
+    SELECT rid, left(cb, 2) AS prefix, chain, r1_seq FROM ox_fate WHERE fate = 'valid'""")
 def set_regroup_shards(t):
-    return shards(t).where(F.col("prefix").isin("TG", "GA")).select("rid", "prefix", "chain", "r1_seq")
+    return shards(t).select("rid", "prefix", "chain", "r1_seq")
 
 
 @query("snk_chunk_manifest", """

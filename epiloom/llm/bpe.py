@@ -214,3 +214,24 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", keep_ids: bool =
                 )
 
     return source.mapInArrow(run, schema)
+
+
+def token_ids(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None, item_bytes: int = 2) -> DataFrame:
+    """``ids`` alone, as little-endian unsigned integers of 2 or 4 bytes; a vocabulary that does not fit in 2 bytes raises."""
+    kept = [f for f in df.schema.fields if (keep is None or f.name in keep) and f.name != "ids"]
+    schema = T.StructType([*kept, T.StructField("ids", T.BinaryType())])
+    source = df.select(*[f"`{f.name}`" for f in kept], df[f"`{text}`"].cast("string").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = codec(vocabulary)
+        if len(tool.lengths) > 1 << 8 * item_bytes:
+            raise ValueError(f"{len(tool.lengths)} ids do not fit in {item_bytes} bytes")
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                packed = [tool.encode_bytes(v or "") for v in part.column(part.num_columns - 1).to_pylist()]
+                if item_bytes != 4:
+                    packed = [np.frombuffer(p, "<u4").astype(f"<u{item_bytes}").tobytes() for p in packed]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names=schema.names)
+
+    return source.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epiloom.session import scratch_path
+from epiloom.session import materialize, scratch_path
 
 from . import bpe, decontaminate, html_text, ngram_join, pii, quality, secrets, toxicity, train_order, url_filters
 from .spans import listed
@@ -77,10 +77,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_train_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Byte ids (the UTF-8 bytes) of every document, in sequences of 1,024."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("bytes"))
+    """Token ids (2 bytes each) of every document, in sequences of 1,024."""
+    docs = bpe.token_ids(table(spark, sf_dir, "documents"), vocabulary(), keep=["doc_id"])
+    docs = materialize(docs, "tokens")  # read twice below, encoded once
     folder = scratch_path(spark, "shards")
-    return train_order.write_shards(train_order.cut(docs, "bytes"), folder if "://" in folder or folder.startswith("file:") else f"file://{folder}", ORDER_KEY)
+    return train_order.write_shards(
+        train_order.cut(docs, "ids", item_bytes=2), folder if "://" in folder or folder.startswith("file:") else f"file://{folder}", ORDER_KEY, item_bytes=2)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ their bound and stops when no block can reach its k-th best cosine, so its neigh
 with weight 1 / (0.05 + distance); the votes are shrunk to the base rate, which calibrates scores with few votes.
 A text without lexicon terms takes the rate of the labelled texts without any.
 
-The labelled sample is bounded (``max_labels``, by a hash of the id), and so are the lexicon and the index; document
-frequencies count every document.
+The labelled sample is bounded (``max_labels``, by a hash of the id), and so is the lexicon; the index holds every
+distinct vector of the sample; document frequencies count every document.
 
 Defined results: NULL and empty texts are texts without terms; labelled rows with NULL label or id are not used, and
 of several labels of one id the largest holds; without any usable label, or a document that has one, the score is 0;
@@ -37,7 +37,6 @@ from . import textcore as tc
 MAX_LABELS = 200_000
 MAX_CANDIDATES = 50_000
 MAX_TERMS = 4_096
-MAX_EXAMPLES = 20_000
 MIN_TOXIC_ROWS = 4
 MIN_Z = 4.2
 MIN_LIFT = 1.5  # of a term's rate among toxic rows over that among the others
@@ -116,8 +115,14 @@ class Model:
         n, size = len(self.toxic), len(self.terms)
         row = np.repeat(np.arange(n), np.diff(self.bounds))
         blocks = max(-(-n // BLOCK), 1)
-        self.block_max = np.zeros((size, blocks), np.float32)
-        np.maximum.at(self.block_max, (self.which, row // BLOCK), self.weights.astype(np.float32) * np.float32(1.000001))
+        # the largest weight of each (term, block) that occurs, by term: its size follows the postings, not terms x blocks
+        key = self.which * blocks + row // BLOCK
+        order = np.argsort(key, kind="stable")
+        own, first = np.unique(key[order], return_index=True)
+        top = np.maximum.reduceat(self.weights[order], first) if len(own) else np.empty(0)
+        self.max_block, self.block_max = own % blocks, top.astype(np.float32) * np.float32(1.000001)
+        self.max_bounds = np.searchsorted(own // blocks, np.arange(size + 1))
+        self.blocks = blocks
         # postings of a block lie together, by term
         order = np.lexsort((row, self.which, row // BLOCK))
         self.post_term, self.post_row, self.post_weight = self.which[order], row[order], self.weights[order]
@@ -131,7 +136,9 @@ class Model:
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a cosine over 0, ties by example number."""
-        bound = weights.astype(np.float32) @ self.block_max[numbers]
+        spans = [slice(self.max_bounds[t], self.max_bounds[t + 1]) for t in numbers]
+        heights = np.concatenate([self.block_max[s] * w for s, w in zip(spans, weights)])
+        bound = np.bincount(np.concatenate([self.max_block[s] for s in spans]), heights, minlength=self.blocks)
         queue = np.argsort(-bound, kind="stable")
         queue = queue[bound[queue] > 0]
         best_row, best = np.empty(0, np.int64), np.empty(0)
@@ -145,10 +152,10 @@ class Model:
             part = np.concatenate([np.arange(self.post_bounds[c], self.post_bounds[c + 1]) for c in chosen])
             part = part[query[self.post_term[part]] > 0]
             rows = self.post_row[part]
-            scores = np.bincount(rows, self.post_weight[part] * query[self.post_term[part]], minlength=len(self.toxic))
-            own = np.unique(rows)
+            own, at_own = np.unique(rows, return_inverse=True)
+            scores = np.bincount(at_own, self.post_weight[part] * query[self.post_term[part]], minlength=len(own))
             best_row = np.concatenate([best_row, own])
-            best = np.concatenate([best, scores[own]])
+            best = np.concatenate([best, scores])
             order = np.lexsort((best_row, -best))[:k]
             best_row, best = best_row[order], best[order]
         return best_row, np.minimum(best, 1.0)
@@ -175,7 +182,7 @@ def _batches(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", keep: Column | None = None,
-    max_labels: int = MAX_LABELS, max_terms: int = MAX_TERMS, max_examples: int = MAX_EXAMPLES,
+    max_labels: int = MAX_LABELS, max_terms: int = MAX_TERMS,
 ) -> Model:
     """The model from the labelled rows that ``keep`` allows."""
     sc = docs.sparkSession.sparkContext
@@ -246,17 +253,19 @@ def train(
         source.mapInArrow(vectors, "vector array<long>, toxic long, id long")
         .groupBy("vector").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"), F.min("id").alias("id"))
     )
-    rest = examples.orderBy(F.size("vector") > 0, F.desc("n"), "id").limit(max_examples + 1).toPandas()
-    empty = rest[rest.vector.map(len) == 0]
-    model.none = float((empty.toxic.sum() + PRIOR * model.base) / (empty.n.sum() + PRIOR)) if len(empty) else model.base
-    rest = rest[rest.vector.map(len) > 0].sort_values("id")
-    pairs = [np.asarray(v, np.int64).reshape(-1, 2) for v in rest.vector]
-    if pairs:
-        model.bounds = np.concatenate([[0], np.cumsum([len(p) for p in pairs])])
-        model.which = np.concatenate([p[:, 0] for p in pairs])
-        model.weights = np.concatenate([model.vector(p[:, 0], p[:, 1]) for p in pairs])
-        model.toxic, model.clean = rest.toxic.to_numpy(float), (rest.n - rest.toxic).to_numpy(float)
-        model.ids = rest["id"].to_numpy(np.int64)
+    # every distinct vector of the sample, as flat Arrow arrays; max_labels bounds their number
+    rest = examples.toArrow().combine_chunks().sort_by("id")
+    lengths = rest["vector"].combine_chunks().value_lengths().to_numpy()
+    empty, full = rest.filter(pa.array(lengths == 0)), rest.filter(pa.array(lengths > 0))
+    count = lambda part, column: part[column].to_numpy().astype(float)
+    model.none = float((count(empty, "toxic").sum() + PRIOR * model.base) / (count(empty, "n").sum() + PRIOR)) if len(empty) else model.base
+    if len(full):
+        pairs = full["vector"].combine_chunks().flatten().to_numpy().reshape(-1, 2)
+        model.bounds = np.concatenate([[0], np.cumsum(lengths[lengths > 0] // 2)])
+        model.which = pairs[:, 0].copy()
+        model.weights = np.concatenate([model.vector(pairs[i:j, 0], pairs[i:j, 1]) for i, j in zip(model.bounds, model.bounds[1:])])
+        model.toxic, model.clean = count(full, "toxic"), count(full, "n") - count(full, "toxic")
+        model.ids = full["id"].to_numpy().astype(np.int64)
     return model.index()
 
 
@@ -292,7 +301,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     """Adds ``score``, ``evidence`` (ids of the nearest examples) and ``cosines``; ``keep`` lists the columns to return."""
     names = {f.name for f in ADDED}
     kept = [f for f in docs.schema.fields if f.name not in names and (keep is None or f.name in keep)]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_terms terms and max_examples examples
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_terms terms and an example per sampled label
     schema = T.StructType(kept + ADDED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

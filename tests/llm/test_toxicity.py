@@ -58,3 +58,18 @@ def test_held_out_accuracy_and_edges(spark):
     none = tx.train(docs, table.limit(0))
     assert {r.score for r in tx.score(docs, none).collect()} == {0.0}
     assert tx.score(docs.limit(0), model).count() == 0
+
+
+def test_every_distinct_vector_is_an_example(spark):
+    rng, n = random.Random(8), 21_000
+    words = ["zorgl", "vexit", "kwamp", "mulfo"]
+    rows = []
+    for i in range(n):
+        counts = [(i // 13**j) % 13 for j in range(4)]
+        rows.append((i, " ".join(" ".join([w] * c) for w, c in zip(words, counts))))
+    labels = spark.createDataFrame([(i, 1) for i in range(n)] + [(n + i, 0) for i in range(n)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows + [(n + i, f"plain{rng.randrange(50)}") for i in range(n)], "doc_id long, text string").repartition(4)
+    model = tx.train(docs, labels)
+    assert len(model.ids) == n - 1 and model.ids.max() == n - 1
+    last = tx.score(docs.filter(F.col("doc_id") == n - 1), model).first()
+    assert max(last.cosines) > 1 - 1e-9 and n - 1 in last.evidence

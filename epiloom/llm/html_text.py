@@ -221,32 +221,28 @@ def chosen(dom: Dom) -> list[int]:
     while node >= 0:
         threshold = min(threshold, density[node])
         node = dom.parent[node]
-    marks: set[int] = {_whole(dom, best)}
-    i = 1
+    cores, i = [best], 1
     while i < n:  # subtrees off the path that are as dense as the path
         if density[i] >= threshold and not (i <= best <= dom.last[i]):
-            top = max(range(i, dom.last[i] + 1), key=lambda j: (total[j], -j))
-            # a lone heading or caption beside the content is not another content
-            if total[top] >= total[best] / 4:
-                marks.add(_whole(dom, top))
+            cores.append(max(range(i, dom.last[i] + 1), key=lambda j: (total[j], -j)))
             i = dom.last[i] + 1
         else:
             i += 1
+    whole = _whole(dom)
     out: list[int] = []
-    for i in sorted(marks):
+    for i in sorted({whole[c] for c in cores}):
         if not out or i > dom.last[out[-1]]:
             out.append(i)
     return out
 
 
-def _whole(dom: Dom, node: int) -> int:
-    """The outermost article or main element around a node, else the node."""
-    found, at = node, node
-    while at > 0:
-        if dom.tag[at] in ("article", "main"):
-            found = at
-        at = dom.parent[at]
-    return found
+def _whole(dom: Dom) -> list[int]:
+    """For every node the outermost article or main element around it, else the node."""
+    out = [0] * len(dom.tag)
+    for i in range(1, len(dom.tag)):
+        above = out[dom.parent[i]]
+        out[i] = above if dom.tag[above] in ("article", "main") else i
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -254,21 +250,21 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     dom = parse(html)
-    ranges = [(i, dom.last[i]) for i in chosen(dom)]
+    of = [-1] * len(dom.tag)  # the chosen node around each node
+    for i in chosen(dom):
+        of[i : dom.last[i] + 1] = [i] * (dom.last[i] + 1 - i)
     blocks: list[str] = []
     own: list[str] = []
-    for first, last in ranges:
-        for node, text in dom.flow:
-            if not first <= node <= last:
-                continue
-            if text:
-                own.append(text)
-            elif own:
-                blocks.append("".join(own))
-                own = []
-        if own:
+    current = -1
+    for node, text in dom.flow:
+        if own and (not text or of[node] != current):
             blocks.append("".join(own))
             own = []
+        current = of[node]
+        if text and current >= 0:
+            own.append(text)
+    if own:
+        blocks.append("".join(own))
     clean = (" ".join(unescape(b).split()) for b in blocks)
     return "\n".join(b for b in clean if b)
 

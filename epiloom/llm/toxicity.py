@@ -3,9 +3,9 @@
 Terms are words (runs of letters and non-ASCII characters, A-Z lower-cased) and the first 4, 5 and 6 bytes of
 longer words, which stand for word stems. Three passes over the corpus, none of which shuffles a text:
 
-1. toxic labelled rows: terms that several of them have (candidates);
-2. all rows: document frequencies of the candidates over the whole corpus and among the labelled rows; the lexicon
-   keeps candidates that lean to toxic rows beyond chance (signed root of the likelihood ratio);
+1. labelled rows: in how many toxic and clean ones each term stands; the lexicon is every term that several toxic rows
+   have and that leans to toxic rows beyond chance (signed root of the likelihood ratio);
+2. all rows: document frequencies of the lexicon over the whole corpus;
 3. labelled rows: their TF-IDF vectors over the lexicon. Equal vectors are one example with counts of either label.
 
 The index keeps, for each term, the largest weight in every block of examples. A query takes blocks in falling order of
@@ -13,8 +13,8 @@ their bound and stops when no block can reach its k-th best cosine, so its neigh
 with weight 1 / (0.05 + distance); the votes are shrunk to the base rate, which calibrates scores with few votes.
 A text without lexicon terms takes the rate of the labelled texts without any.
 
-The labelled sample is bounded (``max_labels``, by a hash of the id), and so is the lexicon; the index holds every
-distinct vector of the sample; document frequencies count every document.
+The labelled sample is bounded (``max_labels``, by a hash of the id). The lexicon holds every term of the sample that
+passes, the index every distinct vector; document frequencies count every document.
 
 Defined results: NULL and empty texts are texts without terms; labelled rows with NULL label or id are not used, and
 of several labels of one id the largest holds; without any usable label, or a document that has one, the score is 0;
@@ -32,11 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiloom.session import materialize
+
 from . import textcore as tc
 
 MAX_LABELS = 200_000
-MAX_CANDIDATES = 50_000
-MAX_TERMS = 4_096
 MIN_TOXIC_ROWS = 4
 MIN_Z = 4.2
 MIN_LIFT = 1.5  # of a term's rate among toxic rows over that among the others
@@ -182,7 +182,7 @@ def _batches(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", keep: Column | None = None,
-    max_labels: int = MAX_LABELS, max_terms: int = MAX_TERMS,
+    max_labels: int = MAX_LABELS,
 ) -> Model:
     """The model from the labelled rows that ``keep`` allows."""
     sc = docs.sparkSession.sparkContext
@@ -194,49 +194,57 @@ def train(
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch.filter(pa.array(known.value.of(batch.column(0)) == 1))
-            for part in tc.slices(toxic.column(1)):
-                rows, values = _terms(part)
-                pairs = np.unique(np.stack([rows.astype(np.uint64), values], 1), axis=0) if len(rows) else np.empty((0, 2), np.uint64)
-                values, counts = np.unique(pairs[:, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], names=["term", "n"])
+            state = known.value.of(batch.column(0))
+            # a row without a term counts the documents
+            out = [np.zeros(1, np.int64), np.array([(state == 0).sum()]), np.array([(state == 1).sum()]), np.array([len(state)])]
+            for kind in (0, 1):
+                for part in tc.slices(batch.filter(pa.array(state == kind)).column(1)):
+                    rows, values = _terms(part)
+                    if not len(rows):
+                        continue
+                    order = np.lexsort((rows, values))
+                    rows, values = rows[order], values[order]
+                    fresh = np.ones(len(rows), bool)
+                    fresh[1:] = (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])
+                    values, counts = np.unique(values[fresh], return_counts=True)
+                    none = np.zeros(len(counts), np.int64)
+                    found = [values.view(np.int64), *((none, counts) if kind else (counts, none)), none]
+                    out = [np.concatenate(both) for both in zip(out, found)]
+            terms = pa.array(out[0], mask=np.arange(len(out[0])) == 0)
+            yield pa.RecordBatch.from_arrays([terms, *[pa.array(c.astype(np.int64)) for c in out[1:]]], names=["term", "clean", "toxic", "n"])
+
+    found = materialize(
+        source.mapInArrow(candidates, "term long, clean long, toxic long, n long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("clean", "toxic", "n")])
+        .filter(F.col("term").isNull() | (F.col("toxic") >= MIN_TOXIC_ROWS)), "terms")
+    sizes = found.filter("term IS NULL").first()  # none without documents
+    n, n0, n1 = (float(sizes.n), float(sizes.clean), float(sizes.toxic)) if sizes else (0.0, 0.0, 0.0)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean, toxic = (batch.column(c).to_numpy().astype(float) for c in ("clean", "toxic"))
+            lift = (toxic + 0.5) / (n1 + 1) * (n0 + 1) / (clean + 0.5)
+            yield batch.filter(pa.array((_lean(toxic, clean, n1, n0) >= MIN_Z) & (lift >= MIN_LIFT))).select(["term"])
 
-    found = (
-        source.mapInArrow(candidates, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= MIN_TOXIC_ROWS).orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).select("term").toPandas()
-    )
-    vocabulary = sc.broadcast(np.sort(found["term"].to_numpy(np.int64).view(np.uint64)))
+    chosen = found.filter("term IS NOT NULL").mapInArrow(passing, "term long").toArrow()["term"].to_numpy()  # of the sample's terms
+    terms = np.sort(chosen.astype(np.int64).view(np.uint64))
+    lexicon = sc.broadcast(terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(vocabulary.value)
-        total, sizes = np.zeros((3, size), np.int64), np.zeros(3, np.int64)
+        size = len(lexicon.value)
+        df = np.zeros(size, np.int64)
         for batch in batches:
-            state = known.value.of(batch.column(0))
             for part in tc.slices(batch.column(1)):
                 rows, values = _terms(part)
-                place, number = _known(values, vocabulary.value)
-                seen = np.unique(rows[place] * size + number)
-                rows, number = seen // max(size, 1), seen % max(size, 1)
-                own = state[part.first : part.first + part.n]
-                sizes += [len(own), (own == 0).sum(), (own == 1).sum()]
-                total[0] += np.bincount(number, minlength=size)
-                for kind in (0, 1):
-                    total[1 + kind] += np.bincount(number[own[rows] == kind], minlength=size)
-        used = np.flatnonzero(total[0])
-        columns = [np.concatenate([[-1], used]), *[np.concatenate([[s], t[used]]) for s, t in zip(sizes, total)]]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["number", "df", "clean", "toxic"])
-
-    counts = source.mapInArrow(frequencies, "number long, df long, clean long, toxic long").groupBy("number").agg(*[F.sum(c).alias(c) for c in ("df", "clean", "toxic")]).toPandas()
-    sizes = counts[counts.number == -1].sum()  # zeros without documents
-    counts = counts[counts.number >= 0].sort_values("number")
-    n, n0, n1 = float(sizes.df), float(sizes.clean), float(sizes.toxic)
-    z = _lean(counts.toxic.to_numpy(float), counts.clean.to_numpy(float), n1, n0)
-    order = np.lexsort((counts.number.to_numpy(), -z))[:max_terms]
-    lift = (counts.toxic.to_numpy(float) + 0.5) / (n1 + 1) * (n0 + 1) / (counts.clean.to_numpy(float) + 0.5)
-    order = np.sort(order[(z[order] >= MIN_Z) & (lift[order] >= MIN_LIFT)])
-    chosen = counts.iloc[order]
-    model = Model(vocabulary.value[chosen.number.to_numpy()], 1 + np.log((1 + n) / (1 + chosen.df.to_numpy(float))), base=n1 / max(n0 + n1, 1))
-    shared = sc.broadcast(model)  # at most max_terms terms
+                place, number = _known(values, lexicon.value)
+                df += np.bincount(np.unique(rows[place] * size + number) % max(size, 1), minlength=size)
+        used = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(df[used])], names=["number", "df"])
+
+    counts = source.mapInArrow(frequencies, "number long, df long").groupBy("number").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(len(terms))
+    df[counts["number"].to_numpy()] = counts["df"].to_numpy()
+    model = Model(terms, 1 + np.log((1 + n) / (1 + df)), base=n1 / max(n0 + n1, 1))
+    shared = sc.broadcast(model)  # terms of the label sample
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +309,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     """Adds ``score``, ``evidence`` (ids of the nearest examples) and ``cosines``; ``keep`` lists the columns to return."""
     names = {f.name for f in ADDED}
     kept = [f for f in docs.schema.fields if f.name not in names and (keep is None or f.name in keep)]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_terms terms and an example per sampled label
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # terms of the label sample and an example per sampled label
     schema = T.StructType(kept + ADDED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,3 +73,16 @@ def test_every_distinct_vector_is_an_example(spark):
     assert len(model.ids) == n - 1 and model.ids.max() == n - 1
     last = tx.score(docs.filter(F.col("doc_id") == n - 1), model).first()
     assert max(last.cosines) > 1 - 1e-9 and n - 1 in last.evidence
+
+
+def test_every_passing_term_is_in_the_lexicon(spark):
+    n = 5_000  # rare terms, each in four toxic rows and no clean one
+    rare = lambda i: "q" + "".join(chr(97 + i // 26**j % 26) for j in range(3))  # noqa: E731 - no longer than a stem
+    rows = [(100 * k + g, " ".join(rare(i) for i in range(g * n // 100, (g + 1) * n // 100))) for k in range(4) for g in range(100)]
+    labels = [(i, 1) for i, _ in rows] + [(1_000 + i, 0) for i in range(4_000)]
+    rows += [(1_000 + i, f"plain w{i % 9}") for i in range(4_000)] + [(9_000 + i, rare(i)) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = tx.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(model.terms) == n
+    found = tx.score(docs.filter("doc_id >= 9000"), model)
+    assert found.filter("size(evidence) > 0").count() == n

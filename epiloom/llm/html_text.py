@@ -6,8 +6,11 @@ the largest density sum is the main content. The smallest density on the path fr
 other subtrees whose density reaches it also give their largest-sum subtree. A chosen node inside an article or main
 element stands for the whole element, so short paragraphs and headings in it stay.
 
-Elements that never hold main text (scripts, forms, navigation, ...) and elements named as boilerplate by class, id or
-role are left out before densities are computed.
+Elements that never hold main text (scripts, forms, navigation, ...) and hidden ones are left out before densities are
+computed, and so are elements named as boilerplate by class, id or role, unless they may be a wrapper: one that contains an
+article or main element (itself not so named) stays in the DOM, and on pages where no such element has text of its own, one that
+contains most of the unlinked characters (elsewhere a long advert or comment list beside a short article would). A
+wrapper is left out only inside chosen content, and only if no chosen subtree lies in it.
 
 Defined results: a NULL or empty page and a page without text have the empty text; malformed markup never raises: a
 stray end tag is ignored, open elements close with their parent; repeated pages have equal texts; clashing input columns
@@ -66,6 +69,7 @@ class Dom:
         self.tag: list[str] = ["#root"]
         self.parent: list[int] = [-1]
         self.last: list[int] = [0]  # last node of the subtree
+        self.named: set[int] = set()  # named as boilerplate
         self.flow: list[tuple[int, str]] = []  # (node, text), or (node, "") where a block starts or ends
 
     def kids(self) -> list[list[int]]:
@@ -75,23 +79,68 @@ class Dom:
         return out
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
+def is_boilerplate(tag: str, attributes: str) -> tuple[bool, bool]:
+    """(never holds main text or is hidden, is only named as boilerplate)."""
     if tag in DROPPED:
-        return True
+        return True, False
     if not attributes or tag in KEPT and "comment" not in attributes.lower():
-        return False
+        return False, False
+    named = False
     for name, a, b, c in NAMED.findall(attributes):
         value = a or b or c
         if name.lower() == "hidden" or name.lower() == "aria-hidden" and value.lower() == "true":
-            return True
-        for word in WORD.findall(CAMEL.sub(" ", value).lower()):
-            if word in BOILERPLATE or word.startswith(STARTS):
-                return True
-    return False
+            return True, False
+        named = named or any(word in BOILERPLATE or word.startswith(STARTS) for word in WORD.findall(CAMEL.sub(" ", value).lower()))
+    return False, named
 
 
 def parse(html: str) -> Dom:
-    """The DOM without boilerplate elements."""
+    """The DOM without boilerplate elements; named wrappers stay, marked."""
+    return _without_named(_parsed(html))
+
+
+def _without_named(dom: Dom) -> Dom:
+    """Drops the named elements that are no wrapper of main text."""
+    if not dom.named:
+        return dom
+    n = len(dom.tag)
+    in_link, plain, main = [False] * n, [0] * n, [False] * n
+    for i in range(1, n):
+        in_link[i] = in_link[dom.parent[i]] or dom.tag[i] == "a"
+        main[i] = dom.tag[i] in ("article", "main") and i not in dom.named
+    for node, text in dom.flow:
+        if text and not in_link[node]:
+            plain[node] += len("".join(text.split()))
+    free = plain[:]  # characters outside named elements below
+    for i in range(n - 1, 0, -1):
+        plain[dom.parent[i]] += plain[i]
+        free[dom.parent[i]] += 0 if i in dom.named else free[i]
+        main[dom.parent[i]] |= main[i]
+    marked = any(dom.tag[i] in ("article", "main") and i not in dom.named and free[i] for i in range(1, n))
+    out = Dom()
+    new = [0] * n  # number in the new DOM, or -1
+    for i in range(1, n):
+        p = dom.parent[i]
+        if new[p] < 0 or i in dom.named and not main[i] and (marked or 2 * plain[i] <= plain[0]):
+            new[i] = -1
+            continue
+        new[i] = len(out.tag)
+        out.tag.append(dom.tag[i])
+        out.parent.append(new[p])
+        out.last.append(new[i])
+        if i in dom.named:
+            out.named.add(new[i])
+    for i in range(len(out.tag) - 1, 0, -1):
+        out.last[out.parent[i]] = max(out.last[out.parent[i]], out.last[i])
+    for node, text in dom.flow:
+        if new[node] >= 0:
+            out.flow.append((new[node], text))
+        elif not text and dom.tag[node] in BLOCK and new[dom.parent[node]] >= 0:  # a dropped block still parts its neighbours
+            out.flow.append((new[dom.parent[node]], ""))
+    return out
+
+
+def _parsed(html: str) -> Dom:
     dom = Dom()
     open_: list[int] = [0]
     names_of: list[str] = ["#root"]  # of open_
@@ -147,7 +196,8 @@ def parse(html: str) -> Dom:
                 dom.flow.append((open_[-1], "" if tag == "hr" else " " if tag == "br" else ""))
             continue
         if not dropping:
-            if is_boilerplate(tag, token[3]) or (tag == "header" and "article" not in names_of and "main" not in names_of):
+            never, named = is_boilerplate(tag, token[3])
+            if never or (tag == "header" and "article" not in names_of and "main" not in names_of):
                 dropping = len(open_)
                 if tag in BLOCK:
                     dom.flow.append((open_[-1], ""))
@@ -157,6 +207,8 @@ def parse(html: str) -> Dom:
                 dom.tag.append(tag)
                 dom.parent.append(open_[-1])
                 dom.last.append(node)
+                if named:
+                    dom.named.add(node)
                 if tag in BLOCK:
                     dom.flow.append((node, ""))
         else:
@@ -210,12 +262,12 @@ def densities(dom: Dom) -> tuple[list[float], list[float], list[int]]:
     return density, total, chars
 
 
-def chosen(dom: Dom) -> list[int]:
-    """Content nodes in page order, none inside another."""
+def chosen(dom: Dom) -> tuple[list[int], list[int]]:
+    """(content nodes in page order, none inside another; the subtrees they stand for)."""
     density, total, chars = densities(dom)
     n = len(dom.tag)
     if not chars[0]:
-        return []
+        return [], []
     best = max(range(n), key=lambda i: (total[i], -i))
     threshold, node = density[best], best
     while node >= 0:
@@ -233,7 +285,7 @@ def chosen(dom: Dom) -> list[int]:
     for i in sorted({whole[c] for c in cores}):
         if not out or i > dom.last[out[-1]]:
             out.append(i)
-    return out
+    return out, cores
 
 
 def _whole(dom: Dom) -> list[int]:
@@ -251,8 +303,18 @@ def main_text(html: str | None) -> str:
         return ""
     dom = parse(html)
     of = [-1] * len(dom.tag)  # the chosen node around each node
-    for i in chosen(dom):
+    nodes, cores = chosen(dom)
+    for i in nodes:
         of[i : dom.last[i] + 1] = [i] * (dom.last[i] + 1 - i)
+    if dom.named:
+        around = [False] * len(dom.tag)  # has a chosen subtree
+        for i in cores:
+            while i >= 0 and not around[i]:
+                around[i] = True
+                i = dom.parent[i]
+        for i in range(1, len(dom.tag)):
+            if of[i] >= 0 and of[i] != i and (of[dom.parent[i]] < 0 or i in dom.named and not around[i]):
+                of[i] = -1
     blocks: list[str] = []
     own: list[str] = []
     current = -1

@@ -32,8 +32,8 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 # A run that is long enough is one match from its first character; shorter ones fail as a whole.
 ACCESS = rf"AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}+"
 HEX = rf"[0-9a-f]{{{MIN_HEX},}}+"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_-]*+[0-9])(?=[^A-Z\s]*+[A-Z])[A-Za-z0-9+/_-]{24,88}+={0,2}+(?![A-Za-z0-9+/_=-])"
-ACCOUNT = r"""(?i:\b(?:access_?key_?id|client_?id|user(?:name)?|account|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,64})"""
+WEAK_SECRET = r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/_-]{24})(?=[A-Za-z+/_-]*+[0-9])(?=[^A-Z\s]*+[A-Z])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])"
+ACCOUNT = r"""(?<![A-Za-z0-9])(?i:access_?key_?id|client_?id|user(?:name)?|account|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,}+)"""
 ENDPOINT = r"""(?<![A-Za-z0-9])(?:https?|jdbc:[a-z]{2,12}|amqp|mongodb|postgres(?:ql)?|redis|ftp)://[^\s"'<>]{4,}+"""
 
 

@@ -1,8 +1,9 @@
 """Personal data: base patterns, and contextual patterns bootstrapped from them, in built-in Spark expressions.
 
 1. Base matches (email, ip, card, phone) are the seed entities.
-2. Lexical patterns are cues: a word and a separator before a value ("mail: x", "id = x"). Every cue in the corpus,
-   with every value after it, is an occurrence; values that a base match covers are seeds of its kind.
+2. Lexical patterns are cues: a word and a separator before a value ("mail: x", "id = x"), and in prose the one, two and
+   three words before a value-like token (one with a digit or an @), or the word before and the word after it. Every cue in
+   the corpus, with every value, is an occurrence; values that a base match covers are seeds of its kind.
 3. Over the graph of cues and distinct values, in ``ROUNDS`` rounds: a cue's score for a kind is the mean score of its
    values, shrunk by ``SHRINK`` values of score 0; a value that is no seed takes the best score of its cues, damped.
    Copies of a text do not count twice, since a value counts once for each cue.
@@ -27,6 +28,7 @@ from .spans import SPAN, as_spans, found, in_order, text_key, with_more
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SHRINK, DAMP = 3, 1.0, 0.8
 MIN_SEEDS, MIN_SCORE = 5, 0.6
+AFTER = 64  # code points in which the word after a value must end
 
 # Written so that a run of one class is searched once: a match starts at a run's first character or where the last
 # match ended, and loops are possessive, so long runs need neither backtracking nor stack.
@@ -34,7 +36,10 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-CUE = r"""(?<![A-Za-z_])[A-Za-z_]{2,30}+["']?+\x20{0,3}+[:=#]\x20{0,3}+["']?+([^\s"',;<>|]{3,80})"""
+CUE = r"""(?<![A-Za-z_])[A-Za-z_]{2,}+["']?+\x20{0,3}+[:=#]\x20{0,3}+["']?+([^\s"',;<>|]{3,}+)"""
+
+# One to three words, then a token with a digit or an @; a match starts at a word's first character.
+PROSE = r"""(?<![^\s"'(])(?:[\p{L}'-]++[\x20\n]){1,3}["'(]?+((?=[^\s0-9@]*+[0-9@])[^\s"',;<>|()]++)"""
 
 
 def _digits(value: Column) -> Column:
@@ -72,7 +77,19 @@ def occurrences(text: Column, base: Column) -> Column:
         cue = F.lower(F.regexp_replace(F.substring(text, m["start"] + 1, start - m["start"]), r"[\s\"']", ""))
         return F.struct(cue.alias("cue"), m["value"].alias("value"), start.alias("start"), m["end"].alias("end"), F.get(own, F.lit(0))["kind"].alias("kind"))
 
-    return F.transform(found(text, CUE, 1), one)
+    def prose(m: Column) -> Column:
+        start = m["end"] - F.length(m["value"])
+        own = F.get(F.filter(base, lambda b: (b["start"] < m["end"]) & (start < b["end"])), F.lit(0))  # a phone or card number may have spaces
+        end = F.greatest(m["end"], F.coalesce(own["end"], m["end"]))
+        value = F.when(own.isNull(), F.regexp_replace(m["value"], r"[.!?:]+$", "")).otherwise(F.substring(text, own["start"] + 1, own["end"] - own["start"]))
+        last = F.when(own.isNull(), start + F.length(value)).otherwise(end)
+        words = F.filter(F.split(F.lower(F.regexp_replace(F.substring(text, m["start"] + 1, start - m["start"]), "[\"'(]", "")), r"\s"), lambda w: w != "")
+        after = F.lower(F.regexp_extract(F.substring(text, last + 1, F.lit(AFTER)), r"^[\"')]?[\x20\n]([\p{L}'-]++)(?=[^\p{L}'-])", 1))
+        left = [F.when(F.size(words) >= k, F.array_join(F.slice(words, -k, k), " ")) for k in (1, 2, 3)]
+        cues = F.array_compact(F.array(*left, F.when(after != "", F.concat(left[0], F.lit(" _ "), after))))
+        return F.transform(cues, lambda c: F.struct(c.alias("cue"), value.alias("value"), start.alias("start"), last.alias("end"), own["kind"].alias("kind")))
+
+    return F.concat(F.transform(found(text, CUE, 1), one), F.flatten(F.transform(found(text, PROSE, 1), prose)))
 
 
 def learn(pairs: DataFrame) -> DataFrame:
@@ -94,7 +111,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``base`` and ``spans``: arrays of (start, rank, end, kind); discovered kinds are named like ``context_email``."""
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     frame = docs.drop("base", "spans").withColumn("base", base_spans(whole))
-    rich = docs.select(whole.alias("t")).filter(F.col("t").rlike(CUE))
+    rich = docs.select(whole.alias("t")).filter(F.col("t").rlike(f"{CUE}|{PROSE}"))
     rich = rich.groupBy(*text_key(F.col("t"))).agg(F.any_value("t").alias("t")).withColumn("base", base_spans(F.col("t")))
     cues = materialize(rich.select("h1", "h2", "base", F.explode(occurrences(F.col("t"), F.col("base"))).alias("o")).select("h1", "h2", "base", "o.*"), "cues")
     pairs = cues.groupBy("cue", "value").agg(F.max("kind").alias("kind"))
@@ -103,4 +120,4 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     fresh = cues.filter(F.col("kind").isNull() & looks).join(accepted.withColumnRenamed("kind", "as"), "cue")
     span = F.struct("start", F.lit(4).alias("rank"), "end", F.concat(F.lit("context_"), "as").alias("kind"))
     more = fresh.groupBy("h1", "h2").agg(F.array_sort(F.collect_set(span)).cast(SPAN).alias("extra"))  # of one text
-    return with_more(frame, whole.rlike(CUE), more, whole)
+    return with_more(frame, whole.rlike(f"{CUE}|{PROSE}"), more, whole)

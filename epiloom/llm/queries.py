@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from epiloom.session import materialize, scratch_path
 
-from . import bpe, decontaminate, html_text, ngram_join, pii, quality, secrets, toxicity, train_order, url_filters
+from . import (
+    boosted_trees, bpe, decontaminate, fill_middle, html_text, ngram_join, pii, plane_clusters, quality, secrets, toxicity, train_order, url_filters,
+)
 from .spans import listed
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOXIC_FROM = 0.7
+GOOD_FROM = 0.3
 ORDER_KEY = 20_240_229
 
 
@@ -92,9 +95,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.transform(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fill_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op12_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plane_clusters.clusters(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
+def op13_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    found = boosted_trees.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), allowed=~held, keep=["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filters, op2_toxicity, op3_secrets, op4_html_text, op5_quality, op6_bpe, op7_ngram_join, op8_pii, op9_train_order, op10_decontaminate)
+    for f in (op1_url_filters, op2_toxicity, op3_secrets, op4_html_text, op5_quality, op6_bpe, op7_ngram_join, op8_pii, op9_train_order, op10_decontaminate,
+              op11_fill_middle, op12_plane_clusters, op13_boosted_trees)
 }
 
 UP, LOW = url_filters.UPPER, url_filters.LOWER
@@ -153,3 +175,43 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
 """
+
+_H = ", ".join(f"('0x' || substr(k, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))
+
+ORACLES["op11_fill_middle"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, {_H} FROM d),
+c AS (SELECT *, len(w)::BIGINT AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(w[1:a], '') AS x, array_to_string(w[a + 1:b], '') AS y, array_to_string(w[b + 1:], '') AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def _clusters_sql(rounds: int = plane_clusters.ROUNDS, k: int = plane_clusters.CLUSTERS) -> str:
+    """One common table for each assignment and each update; vectors and centroids as rows of (component, value)."""
+    nearest = """a{i} AS MATERIALIZED (SELECT r, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+  SELECT r, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{i} c USING (i) GROUP BY r, cluster) GROUP BY r)"""
+    update = """c{j} AS MATERIALIZED (SELECT c.cluster, c.i, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT cluster, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x FROM a{i} JOIN v USING (r) GROUP BY cluster, i) m USING (cluster, i))"""
+    steps = [nearest.format(i=0)]
+    for i in range(rounds):
+        steps += [update.format(i=i, j=i + 1), nearest.format(i=i + 1)]
+    last = rounds
+    return f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {plane_clusters.SIZE} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x::DOUBLE)]) = {plane_clusters.SIZE}),
+v AS MATERIALIZED (SELECT r, unnest(range({plane_clusters.SIZE})) AS i, unnest([floor({plane_clusters.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding]) AS x FROM e),
+s AS (SELECT r, row_number() OVER (ORDER BY sha256('{plane_clusters.SALT}' || coalesce(vec_id::VARCHAR, ''))) - 1 AS cluster FROM e),
+c0 AS MATERIALIZED (SELECT cluster, i, x FROM s JOIN v USING (r) WHERE cluster < {k}),
+{", ".join(steps)},
+n AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS name FROM c{last} GROUP BY cluster)
+SELECT vec_id, cluster::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, name AS centroid_sha256
+FROM a{last} JOIN e USING (r) JOIN n USING (cluster)
+"""
+
+
+ORACLES["op12_plane_clusters"] = _clusters_sql()

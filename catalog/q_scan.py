@@ -104,14 +104,14 @@ def agg_pseudobulk(t):
     FROM ox_pseudobulk a JOIN ox_pseudobulk b ON a.chrom = b.chrom AND abs(a.pos - b.pos) < {H}
     GROUP BY a.chrom, a.pos""")
 def join_band_smooth(t):
-    return sm.band_join(sm.pseudobulk(t.fx_encoded), H).groupBy("chrom", "pos").agg(
+    return sm.band_join(materialize(sm.pseudobulk(t.fx_encoded), "pseudobulk"), H).groupBy("chrom", "pos").agg(
         F.count(F.lit(1)).alias("n_neighbours"), F.sum(F.abs(F.col("pos") - F.col("npos"))).alias("distance")
     )
 
 
 @query("agg_tricube_smooth", "SELECT chrom, pos, round(s, 6) AS smoothed FROM ox_smooth")
 def agg_tricube_smooth(t):
-    return sm.smooth(sm.pseudobulk(t.fx_encoded), BANDWIDTH).select("chrom", "pos", "smoothed")
+    return me.smooth_store(t.fx_encoded, BANDWIDTH).select("chrom", "pos", "smoothed")
 
 
 @query("smooth", "SELECT chrom, pos, round(sw, 6) AS smoothed FROM ox_smooth")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import ranked_groups
+
 # Unmapped, secondary, QC-fail and supplementary bits of the alignment flag.
 NOT_PRIMARY = 0x4 | 0x100 | 0x200 | 0x800
 
@@ -131,15 +133,11 @@ def median_cell(
 ) -> DataFrame:
     """The row at index ``n // 2`` of cells sorted by ``value`` descending (an actual cell, not an average).
 
-    Ties go to the smaller name. The input is the called cells of a sample, which
-    the barcode dictionary bounds; with ``by`` samples are ranked in parallel.
+    Ties go to the smaller name. Ranks come from range-partitioned rows, so no
+    task sees all cells; with ``by`` samples are ranked in parallel.
     """
-    part = list(by) or [F.lit(0)]
-    eligible = cells.where(F.col(value).isNotNull())
-    ranked = eligible.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*part).orderBy(F.desc(value), cell))
-    ).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*part)))
-    return ranked.where(F.col("rank") == F.floor(F.col("n") / 2) + 1).drop("rank", "n")
+    ranked = ranked_groups(cells.where(F.col(value).isNotNull()), [F.desc(value), cell], by=by)
+    return ranked.where(F.col("rank") == F.floor(F.col("n") / 2)).drop("rank", "n")
 
 
 def sample_cells(

@@ -4,69 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sites import region_name
 from .position_join import join_sites
+from .ranks import with_rank
 from .smoothing import chrom_extents
 from .windows import _nan_if_null, residual
 
-REGION_BIN = 16_384
+WIDTHS = tuple(4**k for k in range(16))  # bin widths of the levels
 
 
-def interval_join(
-    positions: DataFrame, regions: DataFrame, *, bin_width: int = REGION_BIN, by: Sequence[str] = ()
-) -> DataFrame:
+def interval_join(positions: DataFrame, regions: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """Positions inside closed regions ``[start, end]``.
 
-    Regions are copied into the position bins they touch, so the join is an
-    equality on (chrom, bin). It runs on the position table (at most
-    ``bin_width`` rows per bin), never on cell × position sites.
+    Hierarchical bins: a region sits at the level whose bins are the widest that
+    are at most half as long as it, in the (three to nine) bins it touches. A
+    position looks at its bin of every level that occurs on its chromosome, so
+    the join is an equality on (chrom, width, bin), and the bins of a region
+    are at most one and a half times as long as the region itself, whether it
+    has a hundred positions or a million. It runs on the position table, never
+    on cell × position sites.
     """
-    bin_of = lambda c: F.floor(F.col(c) / bin_width)
-    tiled = (
-        regions.where(F.col("end") >= F.col("start"))
-        .withColumn("bin", F.explode(F.sequence(bin_of("start"), bin_of("end"))))
-    )
+    half = (F.col("end") - F.col("start") + 1) / 2
+    width = F.lit(1)
+    for w in WIDTHS:
+        width = F.when(half >= w, w).otherwise(width)
+    bin_of = lambda c: F.floor(F.col(c) / F.col("width"))
+    levelled = regions.where(F.col("end") >= F.col("start")).withColumn("width", width)
+    tiled = levelled.withColumn("bin", F.explode(F.sequence(bin_of("start"), bin_of("end"))))
+    levels = levelled.select(*by, "chrom", "width").distinct()  # at most one row per contig and level
     return (
-        positions.withColumn("bin", bin_of("pos"))
-        .join(tiled, [*by, "chrom", "bin"])
+        positions.join(F.broadcast(levels), [*by, "chrom"])
+        .withColumn("bin", bin_of("pos"))
+        .join(tiled, [*by, "chrom", "width", "bin"])
         .where(F.col("pos").between(F.col("start"), F.col("end")))
-        .drop("bin")
+        .drop("bin", "width")
     )
 
 
 def index_cells(cells: DataFrame, order: Column | str) -> DataFrame:
-    """0-based ``cell_idx`` in list order. The list is bounded by the barcode dictionary."""
-    return cells.withColumn("cell_idx", (F.row_number().over(Window.orderBy(order)) - 1).cast("int"))
+    """0-based ``cell_idx`` in list order, from range-partitioned ranks."""
+    return with_rank(cells, [order], "cell_idx").withColumn("cell_idx", F.col("cell_idx").cast("int"))
 
 
 def index_regions(
     regions: DataFrame, positions: DataFrame, *, order: str = "region_ord"
 ) -> DataFrame:
-    """0-based ``region_idx`` by chromosome name, then list order.
+    """0-based ``region_idx`` by chromosome name, then list order, from range-partitioned ranks.
 
-    Chromosomes without data get no index. Ranks are taken per chromosome and
-    shifted by the number of regions on the chromosomes before it.
+    Chromosomes without data get no index.
     """
     present = positions.select("chrom").distinct()
     kept = regions.join(F.broadcast(present), "chrom", "left_semi")
-    per_chrom = kept.groupBy("chrom").agg(F.count(F.lit(1)).alias("n"))
-    before = per_chrom.select(
-        "chrom",
-        F.coalesce(
-            F.sum("n").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-    )
-    rank = F.row_number().over(Window.partitionBy("chrom").orderBy(order))
-    return (
-        kept.withColumn("rank", rank)
-        .join(F.broadcast(before), "chrom")
-        .withColumn("region_idx", (F.col("before") + F.col("rank") - 1).cast("int"))
-        .withColumn("region_name", region_name("chrom", "start", "end"))
-        .drop("rank", "before")
-    )
+    return with_rank(kept, ["chrom", order], "region_idx").withColumn(
+        "region_idx", F.col("region_idx").cast("int")
+    ).withColumn("region_name", region_name("chrom", "start", "end"))
 
 
 def region_cell(
@@ -96,7 +90,7 @@ def region_cell(
     inside = inside.select(*dict.fromkeys([*by, "chrom", "pos", "n_obs", "smoothed", *keys]))
     sums = (
         join_sites(encoded, inside, by=by, **join_options)
-        .groupBy(*dict.fromkeys([*by, *keys, "cell"]))
+        .groupBy(*dict.fromkeys([*by, *keys, "cell"]))  # combined in the tasks of the join before they move
         .agg(
             F.sum((F.col("m") > 0).cast("long")).alias("n_meth"),
             F.count(F.lit(1)).alias("n_total"),

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .position_join import join_sites
+from .position_join import BLOCK_WIDTH, blocks, join_sites
+from .ranks import quantile
 from .smoothing import chrom_extents
 
 NAN = float("nan")
+COPIES_PER_SALT = 8_000_000
 
 
 def residual(meth: Column | str, smooth: Column | str, n: Column | str) -> Column:
@@ -23,16 +25,7 @@ def _nan_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(NAN)).alias(name)
 
 
-def slide_positions(
-    positions: DataFrame, half: int, step: int, *, by: Sequence[str] = ()
-) -> DataFrame:
-    """Add the range ``[k_lo, k_hi]`` of window numbers that contain each position.
-
-    Windows are closed, ``[center - half, center + half]``, with centers at
-    ``first + half + 1 + k * step`` while ``center < last - half - 1``. Positions
-    in no window, and chromosomes too short for one, are dropped. Computed once
-    per position, not once per site.
-    """
+def _placed(positions: DataFrame, half: int, step: int, by: Sequence[str]) -> DataFrame:
     first, last = F.col("first_pos"), F.col("last_pos")
     n_windows = F.ceil((last - first - 2 * half - 2) / step)
     offset = F.col("pos") - first - 1
@@ -45,32 +38,71 @@ def slide_positions(
         .withColumn("k_lo", F.greatest(low, F.lit(0)).cast("int"))
         .withColumn("k_hi", F.least(slot, n_windows - 1).cast("int"))
         .where(F.col("k_hi") >= F.col("k_lo"))
-        .drop("first_pos", "last_pos")
+        .drop("last_pos")
+    )
+
+
+def slide_positions(
+    positions: DataFrame, half: int, step: int, *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Add the range ``[k_lo, k_hi]`` of window numbers that contain each position.
+
+    Windows are closed, ``[center - half, center + half]``, with centers at
+    ``first + half + 1 + k * step`` while ``center < last - half - 1``. Positions
+    in no window, and chromosomes too short for one, are dropped. Computed once
+    per position, not once per site.
+    """
+    return _placed(positions, half, step, by).drop("first_pos")
+
+
+def slide_blocks(
+    positions: DataFrame, half: int, step: int, block_width: int = BLOCK_WIDTH, *, by: Sequence[str] = ()
+) -> DataFrame:
+    """As :func:`slide_positions`, one row per block that owns some of the position's windows.
+
+    A window belongs to the block of its center, so ``[k_lo, k_hi]`` is cut to
+    the centers inside ``block``, and a position meets the blocks within ``half``.
+    """
+    first_in = lambda b: F.ceil((b.cast("long") * block_width - F.col("first_pos") - half - 1) / step)
+    tiled = _placed(positions, half, step, by).withColumn("block", F.explode(blocks(F.col("pos"), block_width, half)))
+    return (
+        tiled.withColumn("k_lo", F.greatest("k_lo", first_in(F.col("block"))).cast("int"))
+        .withColumn("k_hi", F.least("k_hi", first_in(F.col("block") + 1) - 1).cast("int"))
+        .where(F.col("k_hi") >= F.col("k_lo"))
+        .drop("first_pos")
     )
 
 
 def window_cell_sums(
-    encoded: DataFrame, smoothed: DataFrame, half: int, step: int, *, by: Sequence[str] = (), **join_options
+    encoded: DataFrame, smoothed: DataFrame, half: int, step: int, *, by: Sequence[str] = (),
+    block_width: int = BLOCK_WIDTH, rows_per_salt: int = COPIES_PER_SALT,
 ) -> DataFrame:
     """Per (window, cell): observations ``n``, methylated ``meth``, Σ smoothed ``s``.
 
-    Sites of a cell that share the same window range are summed first; only those
-    sums are copied into their windows, and the copies combine within the task
-    before the shuffle on (chrom, win, cell).
+    Sites are copied into the blocks within half a window (two for a few percent
+    of them), so each sum is final inside its (block, salt): after the one
+    shuffle of the sites, nothing keyed by window and cell moves again. Sites of
+    a cell that share a window range are summed before they are copied into
+    their windows; the salts bound the copies of a task, not its sites.
     """
-    dim = slide_positions(
-        smoothed.select(*by, "chrom", "pos", "n_obs", _nan_if_null("smoothed")), half, step, by=by
+    dim = slide_blocks(
+        smoothed.select(*by, "chrom", "pos", "n_obs", _nan_if_null("smoothed")), half, step, block_width, by=by
+    )
+    copies = F.col("k_hi") - F.col("k_lo") + 1
+    joined = join_sites(
+        encoded, dim, by=by, halo=max(half, 1), copies=copies, block_width=block_width, rows_per_salt=rows_per_salt
     )
-    joined = join_sites(encoded, dim, by=by, **join_options)
-    partial = joined.groupBy(*by, "chrom", "block", "salt", "cell", "k_lo", "k_hi").agg(
+    place = [*by, "chrom", "block", "salt"]
+    ranges = joined.groupBy(*place, "cell", "k_lo", "k_hi").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col("m") > 0).cast("long")).alias("meth"),
         F.sum("smoothed").alias("s"),
     )
     return (
-        partial.withColumn("win", F.explode(F.sequence("k_lo", "k_hi")))
-        .groupBy(*by, "chrom", "win", "cell")
+        ranges.withColumn("win", F.explode(F.sequence("k_lo", "k_hi")))
+        .groupBy(*place, "win", "cell")
         .agg(F.sum("n").alias("n"), F.sum("meth").alias("meth"), F.sum("s").alias("s"))
+        .drop("block", "salt")
     )
 
 
@@ -110,8 +142,8 @@ def variance_cutoff(
 ) -> DataFrame:
     """The (1 - var_threshold) quantile of the largest chromosome that has room for a window.
 
-    Largest means most encoded sites, ties by name. ``percentile`` is exact and
-    interpolates linearly; it sees one value per grid step of one chromosome.
+    Largest means most encoded sites, ties by name. The quantile is exact and
+    interpolates linearly, from the ranks of range-partitioned values.
     """
     largest = (
         chrom_extents(smoothed, by=by)
@@ -119,11 +151,8 @@ def variance_cutoff(
         .groupBy(*by)
         .agg(F.min_by("chrom", F.struct(-F.col("n_encoded"), F.col("chrom"))).alias("chrom"))
     )
-    return (
-        variances.join(F.broadcast(largest), [*by, "chrom"])
-        .groupBy(*by, "chrom")
-        .agg(F.percentile("variance", F.lit(1 - var_threshold)).alias("cutoff"))
-    )
+    of_largest = variances.join(F.broadcast(largest), [*by, "chrom"])
+    return quantile(of_largest, "variance", 1 - var_threshold, by=[*by, "chrom"], name="cutoff")
 
 
 def hot_windows(variances: DataFrame, cutoff: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:

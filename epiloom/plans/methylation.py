@@ -42,10 +42,13 @@ def smooth_store(
     encoded: DataFrame, bandwidth: int = 1000, use_weights: bool = False, *,
     strict_compat: bool = False, by: Sequence[str] = (),
 ) -> DataFrame:
-    """Pseudobulk and tricube smoothing of a site store."""
-    return sm.smooth(
-        sm.pseudobulk(encoded, by=by), bandwidth, use_weights, strict_compat=strict_compat, by=by
-    )
+    """Pseudobulk and tricube smoothing of a site store.
+
+    The sites are scanned once: the pseudobulk (a row per position) is written, and the band join's
+    two sides and the chromosome ends read that table.
+    """
+    positions = materialize(sm.pseudobulk(encoded, by=by), "pseudobulk")
+    return sm.smooth(positions, bandwidth, use_weights, strict_compat=strict_compat, by=by)
 
 
 def check_scan_parameters(

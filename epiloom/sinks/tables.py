@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rates import or_na
 from ..functions.sites import region_name
+from ..operators.position_join import BLOCK_WIDTH, STORE_WIDTH
 
 
 def prefix_layout(valid: DataFrame, bases: int) -> DataFrame:
@@ -38,20 +39,27 @@ def chunk_manifest(files: DataFrame) -> DataFrame:
     ).select(F.col("prefix").alias("chunk_id"), "prefix", "stream", "subshard_count", "subshard_paths")
 
 
-def write_site_store(encoded: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Parquet by chromosome, range-split on (chrom, pos) and sorted, so a region scan reads few row groups."""
-    keys = ["chrom", "pos", "cell"]
-    ranged = (
-        encoded.repartitionByRange(partitions, *keys) if partitions else encoded.repartitionByRange(*keys)
-    )
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("chrom").parquet(path)
+def rebalanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` in one shuffle, without a sampling pass: Spark joins small parts and splits large ones by their size."""
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(keys)}) */ * FROM {{frame}}", frame=df)
+
+
+def write_site_store(encoded: DataFrame, path: str) -> None:
+    """Parquet by chromosome and ``stretch`` of positions, sorted by position inside each file.
+
+    A region scan prunes the directories it does not need (see ``join_sites``) and skips row groups by position.
+    """
+    width = lambda n: F.floor(F.col("pos") / n).cast("int")
+    placed = encoded.withColumn("stretch", width(STORE_WIDTH)).withColumn("block", width(BLOCK_WIDTH))
+    dealt = rebalanced(placed, "chrom", "stretch", "block").drop("block")
+    dealt.sortWithinPartitions("chrom", "stretch", "pos", "cell").write.mode("overwrite").partitionBy("chrom", "stretch").parquet(path)
 
 
 def write_smoothed(smoothed: DataFrame, path: str) -> None:
-    """``pos, smoothed`` (and the counts) by chromosome, ascending."""
-    smoothed.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.mode(
-        "overwrite"
-    ).partitionBy("chrom").parquet(path)
+    """``pos, smoothed`` (and the counts) by chromosome, each file sorted by position and of a stretch of its own."""
+    placed = smoothed.withColumn("stretch", F.floor(F.col("pos") / STORE_WIDTH).cast("int"))
+    dealt = rebalanced(placed, "chrom", "stretch").sortWithinPartitions("chrom", "stretch", "pos").drop("stretch")
+    dealt.write.mode("overwrite").partitionBy("chrom").parquet(path)
 
 
 def vmr_bed(vmrs: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -62,6 +62,8 @@ FIXTURES: dict[str, str] = {
                       WHEN l_partkey % 7 = 1 THEN concat(substr(r2, 1, 84), 'CTGTCTCTTATA')
                       WHEN l_partkey % 7 = 2 THEN concat('GAGACAG', 'AAGAGACAG', r2)
                       WHEN l_partkey % 7 = 3 THEN concat(substr(r2, 1, 40), 'CTGTCTCTTATACACATCT', r2)
+                      WHEN l_partkey % 7 = 4 THEN concat(substr(r2, 1, 3), 'AGATGTGTCATAAGAGACAG', substr(r2, 4, 80), 'CTATCTCTTATACAATCT', substr(r2, 1, 9))
+                      WHEN l_partkey % 7 = 5 THEN concat('GTGTATAAGGACAG', substr(r2, 1, 70), CASE WHEN l_linenumber % 2 = 0 THEN 'CTGTCTTCTTATACACATCTAC' ELSE 'CTGTCTCTATACA' END)
                       ELSE r2 END AS r2_seq
           FROM (
             SELECT rid, l_partkey, l_linenumber, umi, qc, r2,

@@ -15,56 +15,61 @@ from .fixtures import FIXTURES
 from .registry import query
 
 
-def _mismatches(window: str, adapter: str) -> str:
-    """Mismatches of a window against an adapter whose only codes are Y and R, by brute force."""
-    plain = adapter.replace("Y", "T").replace("R", "A")
-    fixes = "".join(
-        f" - CASE WHEN substr({window}, {i + 1}, 1) = '{'C' if b == 'Y' else 'G'}' THEN 1 ELSE 0 END"
-        for i, b in enumerate(adapter) if b in "YR"
-    )
-    return f"(hamming({window}, '{plain}'){fixes})"
+def _distance(window: str, adapter: str) -> str:
+    """Edit distance to an adapter whose only codes are Y and R: the least over its plain texts."""
+    distances = [f"levenshtein({window}, '{text}')" for text in _plain(adapter)]
+    return f"least({', '.join(distances)})" if len(distances) > 1 else distances[0]
+
+
+def _plain(piece: str) -> list[str]:
+    texts = [""]
+    for base in piece:
+        texts = [text + b for text in texts for b in {"Y": "CT", "R": "AG"}.get(base, base)]
+    return texts
 
 
 def _brute_trim(source: str, mate: str, adapter: str, end: str) -> str:
-    """Oracle trim of one adapter: every placement is tried; the documented rule picks one."""
+    """Oracle trim of one adapter: the edit distance of every stretch of the read, then the documented rule, stretch by stretch."""
     seq, qual, m = f"{mate}_seq", f"{mate}_qual", len(adapter)
+    score = "{n} - CASE WHEN {d} = 0 THEN 0 WHEN {change} < 0 THEN 3 ELSE 2 END"
     partial = []
     for n in range(9, m):
-        piece, window = (adapter[-n:], f"left({seq}, {n})") if end == "5" else (adapter[:n], f"right({seq}, {n})")
-        allowed = 1 if n >= 10 else 0
-        mm = f"CASE WHEN len({seq}) >= {n} THEN {_mismatches(window, piece)} ELSE 99 END"
-        partial.append(f"{{'n': {n}, 'mm': {mm}, 'ok': {allowed}}}")
-    pick = """
-        CASE WHEN near IS NULL THEN NULL WHEN exact <= near + 9 THEN exact ELSE near END"""
-    if end == "5":
-        use = """
-        CASE WHEN pn IS NULL OR pn - 2 * pmm < 17 THEN full_at ELSE exact END"""
-        start = f"CASE WHEN used IS NOT NULL THEN used WHEN pn IS NOT NULL THEN 0 END"
-        stop = f"CASE WHEN used IS NOT NULL THEN used + {m} ELSE pn END"
-    else:
-        use = f"""
-        CASE WHEN pn IS NOT NULL AND (full_at IS NULL OR
-             (pn - 2 * pmm > CASE WHEN full_at = exact THEN 19 ELSE 17 END AND len({seq}) - pn <= full_at + 9)) THEN len({seq}) - pn ELSE full_at END"""
-        start, stop = "used", "used"
+        for change in (0, 1, -1):
+            piece, window = (adapter[-n:], f"left({seq}, {n + change})") if end == "5" else (adapter[:n], f"right({seq}, {n + change})")
+            far = f"CASE WHEN len({seq}) >= {n + change} THEN {_distance(window, piece)} ELSE 99 END"
+            partial.append(f"{{'n': {n}, 'span': {n + change}, 'd': {far}, 'score': {score.format(n=n, d='0' if change == 0 else '1', change=change)}, 'ok': {1 if n >= 10 else 0}, 'change': {change}}}")
+    # of equal lengths, one error is a replaced base
+    exactly = "CASE WHEN x.change = 0 AND x.d = 1 THEN x.n - 2 ELSE x.score END"
+    rank = f"{{'a': -({exactly}), 'b': {'x.span' if end == '5' else '-x.n'}, 'span': x.span, 'score': {exactly}}}"
+    fits = "x.d <= x.ok AND (x.change = 0 OR x.d = 1)"
+    none = "{'kind': 0, 's': 0, 'e': 0, 'score': 0}"
+    part = f"{{'kind': 1, 's': {'0' if end == '5' else f'len({seq}) - parts[1].span'}, 'e': {'parts[1].span' if end == '5' else f'len({seq})'}, 'score': parts[1].score}}"
+    first = f"CASE WHEN len(parts) > 0 THEN {part} ELSE {none} END" if end == "5" else none
+    met = "x.score > acc.score AND (acc.kind < 2 OR x.s <= acc.s + 9)"
+    fold = f"list_reduce(fulls, lambda acc, x: CASE WHEN {met} THEN x ELSE acc END, {first})"
+    best = "held" if end == "5" else f"""
+        CASE WHEN len(parts) > 0 AND (held.kind = 0 OR (parts[1].score > held.score AND len({seq}) - parts[1].span <= held.s + 9)) THEN {part} ELSE held END"""
     cut = (
-        f"substr({{0}}, coalesce(stop, 0) + 1) AS {{0}}" if end == "5" else
-        f"CASE WHEN start IS NULL THEN {{0}} ELSE left({{0}}, start) END AS {{0}}"
+        "substr({0}, CASE WHEN best.kind > 0 THEN best.e ELSE 0 END + 1) AS {0}" if end == "5" else
+        "CASE WHEN best.kind = 0 THEN {0} ELSE left({0}, best.s) END AS {0}"
     )
     flag = f"{mate}_{'left' if end == '5' else 'right'}"
+    window = f"substr({seq}, cast(o AS int) + 1, cast({m} + c AS int))"
+    # one error leaves one half of a whole adapter as it is; without either half no stretch can fit
+    half = " OR ".join(f"contains({seq}, '{text}')" for text in _plain(adapter[:9]) + _plain(adapter[9:]))
     return f"""
-      SELECT * EXCLUDE ({seq}, {qual}, fulls, parts, near, exact, pn, pmm, full_at, used, start, stop),
-             {cut.format(seq)}, {cut.format(qual)}, start IS NOT NULL AS {flag} FROM (
-        SELECT *, {start} AS start, {stop} AS stop FROM (
-        SELECT *, {use} AS used FROM (
-          SELECT *, {pick} AS full_at FROM (
-            SELECT *, list_min(list_transform(list_filter(fulls, lambda x: x.mm <= 1), lambda x: x.o)) AS near,
-                   list_min(list_transform(list_filter(fulls, lambda x: x.mm = 0), lambda x: x.o)) AS exact,
-                   parts[1].n AS pn, parts[1].mm AS pmm FROM (
-              SELECT *, list_transform(range(0, greatest(len({seq}) - {m - 1}, 0)),
-                          lambda o: {{'o': o, 'mm': {_mismatches(f"substr({seq}, cast(o AS int) + 1, {m})", adapter)}}}) AS fulls,
-                     list_transform(list_sort(list_transform(list_filter([{', '.join(partial)}], lambda x: x.mm <= x.ok),
-                          lambda x: {{'rank': 2 * x.mm - x.n, 'n': x.n, 'mm': x.mm}})), lambda x: {{'n': x.n, 'mm': x.mm}}) AS parts
-              FROM {source}) a) b) c) d) e"""
+      SELECT * EXCLUDE ({seq}, {qual}, fulls, parts, held, best), {cut.format(seq)}, {cut.format(qual)}, best.kind > 0 AS {flag} FROM (
+        SELECT *, {best} AS best FROM (
+          SELECT *, {fold} AS held FROM (
+            SELECT * EXCLUDE (tried, pieces),
+                   list_transform(list_sort([{{'e': x.o + {m} + x.c, 'a': -x.score, 'b': -x.o, 's': x.o, 'score': x.score}}
+                     FOR x IN [{{'o': y.o, 'c': y.c, 'score': CASE WHEN y.d = 0 THEN {m} WHEN y.c < 0 THEN {m - 3} ELSE {m - 2} END}}
+                               FOR y IN tried IF y.d <= 1 AND (y.c = 0 OR y.d = 1)]]),
+                     lambda x: {{'kind': 2, 's': cast(x.s AS int), 'e': cast(x.e AS int), 'score': x.score}}) AS fulls,
+                   list_sort([{rank} FOR x IN pieces IF {fits}]) AS parts FROM (
+              SELECT *, [{', '.join(partial)}] AS pieces,
+                     flatten([[{{'o': o, 'c': c, 'd': {_distance(window, adapter)}}} FOR o IN range(0, CASE WHEN {half} THEN greatest(len({seq}) - {m - 1} - c, 0) ELSE 0 END)] FOR c IN [0, 1, -1]]) AS tried
+              FROM {source}) a) b) c) d"""
 
 
 FIXTURES.update({

@@ -94,27 +94,27 @@ def exact_pattern(adapter: str) -> str:
     return "".join(_bases(adapter))
 
 
-def _any_one_replaced(bases: list[str]) -> str:
-    variants = ("".join(bases[:i]) + "." + "".join(bases[i + 1 :]) for i in range(len(bases)))
-    return "(?:" + "|".join(variants) + ")"
+def _expansions(bases: list[str]) -> list[str]:
+    """The plain texts of a piece: one for each choice at its ambiguous bases."""
+    out = [""]
+    for base in bases:
+        out = [text + b for text in out for b in base.strip("[]")]
+    return out
 
 
-def one_mismatch_pattern(adapter: str) -> str:
-    """A regex for ``adapter`` with at most one substitution.
+def _edited(bases: list[str], edit: str, *, before_first: bool = False) -> str:
+    """A pattern of ``bases`` with one base replaced (``sub``), one more (``ins``) or one less (``del``)."""
+    places = range(len(bases)) if edit != "ins" or before_first else range(1, len(bases))
+    rest = {"sub": 1, "ins": 0, "del": 1}[edit]
+    any_base = "" if edit == "del" else "."
+    return "(?:" + "|".join("".join(bases[:i]) + any_base + "".join(bases[i + rest :]) for i in places) + ")"
 
-    One of the two halves is free of errors, so each branch is guarded by a
-    literal half and a non-matching offset fails after a few characters.
-    """
-    bases = _bases(adapter)
-    half = len(bases) // 2
-    left, right = bases[:half], bases[half:]
-    error_right = "".join(left) + _any_one_replaced(right)
-    error_left = f"(?=.{{{half}}}{''.join(right)}){_any_one_replaced(left)}.{{{len(right)}}}"
-    return f"(?:{error_right}|{error_left})"
+
+SPAN_CHANGE = {"sub": 0, "ins": 1, "del": -1}  # read bases of a placement beyond those of the adapter
 
 
-def half_anchored_patterns(adapter: str) -> tuple[str, str, int]:
-    """Search patterns for ``adapter`` with at most one substitution: (left, right, shift).
+def half_anchored_patterns(adapter: str, edit: str) -> tuple[str, str, int]:
+    """Search patterns for ``adapter`` with one edit: (left, right, shift).
 
     One half is always free of errors. Each pattern starts with that half as
     plain text, which the regex engine finds by skipping, and only then tests
@@ -125,27 +125,51 @@ def half_anchored_patterns(adapter: str) -> tuple[str, str, int]:
     half = len(bases) // 2
     left, right = "".join(bases[:half]), "".join(bases[half:])
     return (
-        left + _any_one_replaced(bases[half:]),
-        f"{right}(?<={_any_one_replaced(bases[:half])}{right})",
-        half,
+        left + _edited(bases[half:], edit, before_first=True),
+        f"{right}(?<={_edited(bases[:half], edit)}{right})",
+        half + SPAN_CHANGE[edit],
     )
 
 
-def _partial_placements(adapter: str) -> list[tuple[int, int]]:
-    """(overlap, mismatches) allowed at a read end, best score (overlap - 2 * mismatches) first."""
-    allowed = [
-        (overlap, errors)
-        for overlap in range(chem.ADAPTER_MIN_OVERLAP, len(adapter))
-        for errors in range(int(overlap * chem.ADAPTER_ERROR_RATE) + 1)
-    ]
-    return sorted(allowed, key=lambda p: (2 * p[1] - p[0], p[0]))
+def _half_seeds(adapter: str) -> list[str]:
+    """Plain texts of which a read holds at least one if it holds ``adapter`` with at most one edit."""
+    bases = _bases(adapter)
+    half = len(bases) // 2
+    return _expansions(bases[:half]) + _expansions(bases[half:])
+
+
+def _partial_placements(m: int, end: str) -> list[tuple[int, int, str | None]]:
+    """(score, overlap, edit) of the placements of a part of an adapter at a read end, the preferred one first.
+
+    At the start of a read, equal scores go to the shorter stretch of read, at its end to the larger overlap.
+    """
+    allowed = []
+    for overlap in range(chem.ADAPTER_MIN_OVERLAP, m):
+        edits = (None, "sub", "ins", "del") if int(overlap * chem.ADAPTER_ERROR_RATE) else (None,)
+        allowed += [(_score(overlap, edit), overlap, edit) for edit in edits]
+    span = lambda p: p[1] + SPAN_CHANGE.get(p[2], 0)
+    return sorted(allowed, key=lambda p: (-p[0], span(p) if end == "5" else -p[1], span(p)))
 
 
-def _partial_pattern(adapter: str) -> str:
-    """Adapter suffixes at the start of a read; the first alternative that fits has the best score."""
+def _score(bases: int, edit: str | None) -> int:
+    """Matches count 1, a replaced base -1, an inserted or a missing one -2."""
+    return bases - {None: 0, "sub": 2, "ins": 2, "del": 3}[edit]
+
+
+def _partial_piece(adapter: str, overlap: int, edit: str | None) -> str:
+    bases = _bases(adapter)[-overlap:]
+    if edit is None:
+        return "".join(bases)
+    half = overlap // 2
+    left, right = bases[:half], bases[half:]
+    return f"(?:{''.join(left)}{_edited(right, edit, before_first=True)}|{_edited(left, edit)}{''.join(right)})"
+
+
+def _partial_pattern(adapter: str, end: str, scores: tuple[int, ...] | None = None) -> str:
+    """Adapter suffixes at the start of a read; the first alternative that fits is the preferred one."""
     pieces = (
-        one_mismatch_pattern(adapter[-overlap:]) if errors else exact_pattern(adapter[-overlap:])
-        for overlap, errors in _partial_placements(adapter)
+        _partial_piece(adapter, overlap, edit)
+        for score, overlap, edit in _partial_placements(len(adapter), end) if scores is None or score in scores
     )
     return "^(?:" + "|".join(pieces) + ")"
 
@@ -165,46 +189,88 @@ def with_adapter_match(
 ) -> DataFrame:
     """Locate ``adapter`` and add 0-based ``[start, stop)`` columns (NULL when absent).
 
-    Placements are mismatch-only: at most 10 % errors, overlap at least 9, IUPAC
-    codes match their bases. Score is matches minus mismatches. The leftmost
-    placement wins unless a better-scoring one starts at most half an adapter
-    further; partial placements exist at the read start (``end="5"``, adapter
-    suffix) or the read end (``end="3"``, adapter prefix).
+    Edit distance with indels: at most 10 % errors (one for a whole adapter and
+    for parts of ten bases, none below), overlap at least 9, IUPAC codes match
+    their bases. Score is matches minus replaced bases minus two for an inserted
+    or missing one. Placements are met in the order of their ends (of those with
+    one end the best score, then the shortest). The first one holds until one
+    with a better score starts at most half an adapter further.
+    Parts exist at the read start (``end="5"``, adapter suffix), where the best
+    one comes first and any whole adapter of a better score replaces it, or at
+    the read end (``end="3"``, adapter prefix), where the best one comes last.
+
+    Only the first placement of each kind of edit can win, so each is one search
+    for an error-free half; reads without such a half are not searched.
     """
-    m = len(adapter)
+    m, reach = len(adapter), len(adapter) // 2
+    top, edited, shorter = m, _score(m, "sub"), _score(m, "del")
     column = F.col(seq)
     # A 3' prefix at the end of a read is a suffix at the start of the reversed read.
     edge, piece = (column, adapter) if end == "5" else (F.reverse(column), adapter[::-1])
-    strong = (m - 1, m - 2) if end == "5" else (m - 1,)
-    strong_pattern = "^(?:" + "|".join(exact_pattern(piece[-n:]) for n in strong) + ")"
-    left, right, shift = half_anchored_patterns(adapter)
+    fits = lambda *scores: edge.rlike(_partial_pattern(piece, end, scores))
+    seeded = F.lit(False)
+    for text in _half_seeds(adapter):
+        seeded = seeded | F.contains(column, F.lit(text))
+    df = staged(df, _seeded=seeded, _part=F.length(F.regexp_extract(edge, _partial_pattern(piece, end), 0)))
+    part = F.when(F.col("_part") > 0, F.col("_part"))
+
+    def first(pattern: str, shift: int = 0) -> Column:
+        at = F.regexp_instr(column, F.lit(pattern))
+        return F.when(F.col("_seeded"), F.when(at > 0, at - 1 - shift))
+
+    def earliest(edit: str) -> Column:
+        left, right, shift = half_anchored_patterns(adapter, edit)
+        return F.least(first(left), first(right, shift))
+
     df = staged(
         df,
-        _left=F.regexp_instr(column, F.lit(left)),
-        _right=F.regexp_instr(column, F.lit(right)),
-        _exact=F.regexp_instr(column, F.lit(exact_pattern(adapter))),
-        _part=F.length(F.regexp_extract(edge, _partial_pattern(piece), 0)),
-        _strong=edge.rlike(strong_pattern),
+        _exact=first(exact_pattern(adapter)),
+        _sub=earliest("sub"),
+        _ins=earliest("ins"),
+        _del=earliest("del"),
+        # the score that a whole adapter must beat after a part at the start of a read, as far as it matters
+        _held=F.when(part.isNull(), 0).when(fits(m - 1, m - 2), edited).when(fits(shorter), shorter).otherwise(0) if end == "5" else F.lit(0),
     )
-    exact, part, strong_hit = (F.col(c) for c in ("_exact", "_part", "_strong"))
-    near = F.least(  # NULL when neither half was found
-        F.when(F.col("_left") > 0, F.col("_left")), F.when(F.col("_right") > 0, F.col("_right") - shift)
+    exact, sub, ins = F.col("_exact"), F.col("_sub"), F.col("_ins")
+    held = F.col("_held")
+    by_ins = sub.isNull() | (ins + 1 < sub)  # ends before the replaced one
+    near = F.when(held < edited, F.when(ins.isNotNull() & by_ins, ins).otherwise(sub))
+    near_end = F.when(held < edited, F.when(ins.isNotNull() & by_ins, ins + m + 1).otherwise(sub + m))
+    short = F.when(held < shorter, F.col("_del"))
+    df = staged(df, _near=near, _near_end=near_end, _short=short)
+    near, near_end, short = F.col("_near"), F.col("_near_end"), F.col("_short")
+
+    def placed(start: Column, stop: Column, score: int) -> Column:
+        return F.struct(start.cast("int").alias("start"), stop.cast("int").alias("stop"), F.lit(score).alias("score"))
+
+    whole = placed(exact, exact + m, top)
+    from_near = F.when(exact <= near + reach, whole).otherwise(placed(near, near_end, edited))
+    from_short = (
+        F.when(near <= short + reach, from_near)
+        .when(exact <= short + reach, whole)
+        .otherwise(placed(short, short + m - 1, shorter))
     )
-    full = F.when((exact > 0) & (exact <= near + m // 2), exact).otherwise(near)
+    none = F.lit(1 << 30)
+    ends = [F.coalesce(c, none) for c in (exact + m, near_end, short + m - 1)]
+    full = (
+        F.when((ends[0] < none) & (ends[0] <= ends[1]) & (ends[0] <= ends[2]), whole)
+        .when((ends[1] < none) & (ends[1] <= ends[2]), from_near)
+        .when(ends[2] < none, from_short)
+    )
+    df = staged(df, _full=full)
+    full = F.col("_full")
     if end == "5":
-        # The partial placement comes first; a full one must score strictly more.
-        full = F.when(~strong_hit, full).when(exact > 0, exact)
-        start = F.when(full.isNotNull(), full - 1).when(part > 0, 0)
-        stop = F.when(full.isNotNull(), full - 1 + m).when(part > 0, part)
+        start = F.when(full.isNotNull(), full["start"]).when(part.isNotNull(), 0)
+        stop = F.coalesce(full["stop"], part)
     else:
-        # The partial placement comes last; only a longer run of matches replaces a full one.
         origin = F.length(column) - part
-        use_part = (part > 0) & (
-            full.isNull() | ((full != exact) & strong_hit & (origin <= full - 1 + m // 2))
-        )
-        start = F.when(use_part, origin).otherwise(full - 1)
-        stop = F.when(use_part, F.length(column)).otherwise(full - 1 + m)
-    return staged(df, **{start_col: start, stop_col: stop}).drop("_left", "_right", "_exact", "_part", "_strong")
+        longer = edge.rlike("^" + _partial_piece(piece, m - 1, None)) | ((full["score"] == shorter) & edge.rlike("^" + _partial_piece(piece, m - 2, None)))
+        better = (full["score"] < m - 1) & (origin <= full["start"] + reach) & longer
+        use_part = part.isNotNull() & (full.isNull() | better)
+        start = F.when(use_part, origin).otherwise(full["start"])
+        stop = F.when(use_part, F.length(column)).otherwise(full["stop"])
+    return staged(df, **{start_col: start, stop_col: stop}).drop(
+        "_seeded", "_part", "_exact", "_sub", "_ins", "_del", "_held", "_near", "_near_end", "_short", "_full")
 
 
 def _trim_mate(df: DataFrame, mate: str, adapter5: str, adapter3: str) -> DataFrame:

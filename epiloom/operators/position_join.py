@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 BLOCK_WIDTH = 131_072
-ROWS_PER_SALT = 2_000_000
+ROWS_PER_SALT = 250_000
 STORE_WIDTH = 64 * BLOCK_WIDTH  # positions in a directory of a site store
 _WORD = 64
 

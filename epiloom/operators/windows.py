@@ -12,7 +12,7 @@ from .ranks import quantile
 from .smoothing import chrom_extents
 
 NAN = float("nan")
-COPIES_PER_SALT = 8_000_000
+COPIES_PER_SALT = 1_000_000
 
 
 def residual(meth: Column | str, smooth: Column | str, n: Column | str) -> Column:

@@ -253,8 +253,8 @@ def join_barcode_hamming1(t):
 
 @query("join_barcode_hamming1_shuffled", "SELECT rid, ocb, cb, alt, status FROM ox_assigned")
 def join_barcode_hamming1_shuffled(t):
-    """The path taken when the corrections are too many to broadcast, with hot barcodes split off."""
-    return bc.assign_barcodes(observed(t).select("rid", "ocb"), t.fx_whitelist, broadcast_rows=0, hot_reads=3)
+    """The path taken when the decisions are too large to broadcast: frequent barcodes are salted."""
+    return bc.assign_barcodes(observed(t).select("rid", "ocb"), t.fx_whitelist, max_bytes=0, reads_per_salt=3)
 
 
 @query("join_barcode_hamming_k", """

@@ -131,11 +131,25 @@ def half_anchored_patterns(adapter: str, edit: str) -> tuple[str, str, int]:
     )
 
 
-def _half_seeds(adapter: str) -> list[str]:
-    """Plain texts of which a read holds at least one if it holds ``adapter`` with at most one edit."""
-    bases = _bases(adapter)
-    half = len(bases) // 2
-    return _expansions(bases[:half]) + _expansions(bases[half:])
+def _first_of(column: Column, texts: list[str]) -> Column:
+    """The 0-based place of the first of some plain texts, NULL if the read has none."""
+    places = [F.nullif(F.instr(column, text), F.lit(0)) - 1 for text in texts]
+    return F.least(*places) if len(places) > 1 else places[0]
+
+
+def _may_be_partial(edge: Column, piece: str) -> Column:
+    """A cheap necessary condition of :func:`_partial_pattern`, by plain texts.
+
+    Of a part with at most one edit, one half is free of errors: the far half
+    ends with the last bases of the adapter, the near half begins the read.
+    """
+    m, bases = len(piece), _bases(piece)
+    size = chem.ADAPTER_MIN_OVERLAP - chem.ADAPTER_MIN_OVERLAP // 2
+    near = {text for overlap in range(2 * size, m) for text in _expansions(bases[m - overlap : m - overlap + size])}
+    found = F.left(edge, F.lit(size)).isin(sorted(near))
+    for text in _expansions(bases[-size:]):
+        found = found | F.contains(F.left(edge, F.lit(m + 1)), F.lit(text))
+    return found
 
 
 def _partial_placements(m: int, end: str) -> list[tuple[int, int, str | None]]:
@@ -200,23 +214,30 @@ def with_adapter_match(
     the read end (``end="3"``, adapter prefix), where the best one comes last.
 
     Only the first placement of each kind of edit can win, so each is one search
-    for an error-free half; reads without such a half are not searched.
+    for an error-free half. Reads without such a half are not searched, nor are
+    those whose first halves are those of an exact adapter.
     """
-    m, reach = len(adapter), len(adapter) // 2
+    m, reach, half = len(adapter), len(adapter) // 2, len(adapter) // 2
     top, edited, shorter = m, _score(m, "sub"), _score(m, "del")
-    column = F.col(seq)
+    column, bases = F.col(seq), _bases(adapter)
     # A 3' prefix at the end of a read is a suffix at the start of the reversed read.
     edge, piece = (column, adapter) if end == "5" else (F.reverse(column), adapter[::-1])
     fits = lambda *scores: edge.rlike(_partial_pattern(piece, end, scores))
-    seeded = F.lit(False)
-    for text in _half_seeds(adapter):
-        seeded = seeded | F.contains(column, F.lit(text))
-    df = staged(df, _seeded=seeded, _part=F.length(F.regexp_extract(edge, _partial_pattern(piece, end), 0)))
+    df = staged(
+        df,
+        _left=_first_of(column, _expansions(bases[:half])),
+        _right=_first_of(column, _expansions(bases[half:])),
+        _part=F.when(_may_be_partial(edge, piece), F.length(F.regexp_extract(edge, _partial_pattern(piece, end), 0))).otherwise(0),
+    )
     part = F.when(F.col("_part") > 0, F.col("_part"))
+    df = staged(df, _exact=F.when(F.col("_left").isNotNull() & F.col("_right").isNotNull(), _first_of(column, _expansions(bases))))
+    at = F.col("_exact")
+    plain = F.coalesce((F.col("_left") == at) & (F.col("_right") == at + half), F.lit(False))
+    searched = (F.col("_left").isNotNull() | F.col("_right").isNotNull()) & ~plain
 
     def first(pattern: str, shift: int = 0) -> Column:
-        at = F.regexp_instr(column, F.lit(pattern))
-        return F.when(F.col("_seeded"), F.when(at > 0, at - 1 - shift))
+        place = F.regexp_instr(column, F.lit(pattern))
+        return F.when(searched, F.when(place > 0, place - 1 - shift))
 
     def earliest(edit: str) -> Column:
         left, right, shift = half_anchored_patterns(adapter, edit)
@@ -224,7 +245,6 @@ def with_adapter_match(
 
     df = staged(
         df,
-        _exact=first(exact_pattern(adapter)),
         _sub=earliest("sub"),
         _ins=earliest("ins"),
         _del=earliest("del"),
@@ -270,7 +290,7 @@ def with_adapter_match(
         start = F.when(use_part, origin).otherwise(full["start"])
         stop = F.when(use_part, F.length(column)).otherwise(full["stop"])
     return staged(df, **{start_col: start, stop_col: stop}).drop(
-        "_seeded", "_part", "_exact", "_sub", "_ins", "_del", "_held", "_near", "_near_end", "_short", "_full")
+        "_left", "_right", "_part", "_exact", "_sub", "_ins", "_del", "_held", "_near", "_near_end", "_short", "_full")
 
 
 def _trim_mate(df: DataFrame, mate: str, adapter5: str, adapter3: str) -> DataFrame:

@@ -6,16 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.seq import correction_tag
-from ..session import broadcast_if_small, materialize
+from ..session import BROADCAST_MAX_BYTES, broadcast_if_small, materialize
 
-# A barcode seen more often than this is joined by broadcast, not by shuffle;
-# at most (rows / threshold) such barcodes exist.
-HOT_BARCODE_READS = 1_000_000
-CORRECTIONS_BROADCAST_ROWS = 1_000_000
+READS_PER_SALT = 1_000_000  # reads of one barcode that may meet in one task
 
 
 def match_exact(reads: DataFrame, whitelist: DataFrame, barcode: str = "ocb") -> DataFrame:
-    """Add ``is_exact``. The dictionary is a fixed list (under a million rows), broadcast after a size check."""
+    """Add ``is_exact``. The dictionary is a fixed list (under a million rows), broadcast after its size is measured."""
     listed, _ = broadcast_if_small(
         whitelist.select(F.col("cb").alias(barcode), F.lit(True).alias("hit")).distinct()
     )
@@ -54,9 +51,10 @@ def correct_hamming1(observed: DataFrame, whitelist: DataFrame, barcode: str = "
     ``corrected``, several are ``ambiguous`` (``cb`` NULL).
     """
     listed, _ = broadcast_if_small(whitelist.select("cb").distinct())
-    return _decide(
-        substitution_neighbours(observed.select(barcode), barcode, "cb").join(listed, "cb"), barcode
-    )
+    # a small table of barcodes is one file: deal it out before each becomes some fifty candidates
+    parts = int(observed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = observed.select(barcode).repartition(parts, barcode)
+    return _decide(substitution_neighbours(dealt, barcode, "cb").join(listed, "cb"), barcode)
 
 
 def _decide(candidates: DataFrame, barcode: str) -> DataFrame:
@@ -93,7 +91,7 @@ def nearest_within(observed: DataFrame, whitelist: DataFrame, distance: int, bar
                 theirs.withColumnRenamed("near", "from"), "from", "near", alphabet="ACGTN", first_n=False
             ).drop("from")
             theirs = theirs.distinct() if dist > 2 else theirs
-        listed, _ = broadcast_if_small(theirs)
+        listed, _ = broadcast_if_small(theirs) if dist == 1 else (theirs, False)
         hits = mine.join(listed, "near").select(barcode, "cb").distinct().withColumn("dist", F.lit(dist))
         if dist < distance:
             hits = materialize(hits, "barcode-hits")
@@ -107,66 +105,62 @@ def barcode_histogram(reads: DataFrame, barcode: str = "ocb") -> DataFrame:
     return reads.groupBy(barcode).agg(F.count(F.lit(1)).alias("n_reads"))
 
 
+def decide_barcodes(
+    reads: DataFrame, whitelist: DataFrame, *, distance: int = 1, barcode: str = "ocb"
+) -> tuple[DataFrame, DataFrame]:
+    """``(decisions, histogram)`` of the distinct barcodes, both written.
+
+    ``decisions``: ``(ocb, cb, alt, status)`` of every barcode that is exact,
+    corrected or ambiguous; the others are rejected. The reads are scanned once,
+    for the histogram; all matching runs on distinct barcodes.
+    """
+    histogram = materialize(barcode_histogram(reads, barcode), "barcodes")
+    listed = whitelist.select(F.col("cb").alias(barcode)).distinct()
+    exact = histogram.join(listed, barcode, "left_semi").select(
+        barcode, F.col(barcode).alias("cb"), F.lit("M").alias("alt"), F.lit("exact").alias("status"))
+    if distance <= 0:
+        return materialize(exact, "decisions"), histogram
+    unmatched = histogram.join(listed, barcode, "left_anti")
+    if distance == 1:
+        fixes = correct_hamming1(unmatched, whitelist, barcode)
+    else:
+        fixes = _decide(nearest_within(unmatched, whitelist, distance, barcode), barcode)
+    return materialize(exact.unionByName(fixes.select(*exact.columns)), "decisions"), histogram
+
+
 def assign_barcodes(
     reads: DataFrame,
     whitelist: DataFrame,
     *,
     distance: int = 1,
     barcode: str = "ocb",
-    broadcast_rows: int = CORRECTIONS_BROADCAST_ROWS,
-    hot_reads: int = HOT_BARCODE_READS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
+    reads_per_salt: int = READS_PER_SALT,
 ) -> DataFrame:
     """Add ``cb``, ``alt`` and ``status`` (exact, corrected, ambiguous, rejected) to every read.
 
-    Exact matches never shuffle. The rest are corrected per distinct barcode. The
-    corrections are broadcast when few; otherwise barcodes with many reads are
-    resolved by a broadcast of at most (reads / hot_reads) rows, and only the
-    remaining non-exact reads shuffle.
+    One plan over two scans of the reads: a histogram of their barcodes, then one
+    join with the decisions on the distinct ones. The join is a broadcast if the
+    written decisions measure at most ``max_bytes``. Else it shuffles by
+    (barcode, salt), where the histogram gives every barcode, rejected ones too,
+    a salt for each ``reads_per_salt`` of its reads; the frequent ones that need
+    several number at most reads / ``reads_per_salt``.
     """
-    flagged = match_exact(reads, whitelist, barcode)
-    if distance <= 0:
-        return flagged.select(
-            *reads.columns,
-            F.when(F.col("is_exact"), F.col(barcode)).alias("cb"),
-            F.when(F.col("is_exact"), "M").otherwise("").alias("alt"),
-            F.when(F.col("is_exact"), "exact").otherwise("rejected").alias("status"),
-        )
-
-    unmatched = barcode_histogram(
-        match_exact(reads.select(barcode), whitelist, barcode).where(~F.col("is_exact")), barcode
-    )
-    if distance == 1:
-        fixes = correct_hamming1(unmatched, whitelist, barcode)
-    else:
-        fixes = _decide(nearest_within(unmatched, whitelist, distance, barcode), barcode)
-    # Written once: every result of the pass joins these corrections.
-    fixes = materialize(fixes.select(barcode, "cb", "alt", "status"), "corrections")
-
-    small, fits = broadcast_if_small(fixes, broadcast_rows)
+    decisions, histogram = decide_barcodes(reads, whitelist, distance=distance, barcode=barcode)
+    small, fits = broadcast_if_small(decisions, max_bytes)
     if fits:
-        return _apply(flagged, small, reads.columns, barcode)
-
-    hot = unmatched.where(F.col("n_reads") >= hot_reads).select(barcode)
-    hot_fixes = F.broadcast(
-        hot.join(fixes, barcode, "left").withColumn("status", F.coalesce("status", F.lit("rejected")))
-    )
-    is_hot = F.broadcast(hot)
-    rest = flagged.where(~F.col("is_exact"))
-    return (
-        _apply(flagged.where(F.col("is_exact")), hot_fixes.limit(0), reads.columns, barcode)
-        .unionByName(_apply(rest.join(is_hot, barcode, "left_semi"), hot_fixes, reads.columns, barcode))
-        .unionByName(_apply(rest.join(is_hot, barcode, "left_anti"), fixes, reads.columns, barcode))
-    )
-
-
-def _apply(flagged: DataFrame, fixes: DataFrame, columns: list[str], barcode: str) -> DataFrame:
-    exact = F.col("is_exact")
-    return flagged.join(fixes, barcode, "left").select(
-        *columns,
-        F.when(exact, F.col(barcode)).otherwise(F.col("cb")).alias("cb"),
-        F.when(exact, "M").otherwise(F.coalesce("alt", F.lit(""))).alias("alt"),
-        F.when(exact, "exact").otherwise(F.coalesce("status", F.lit("rejected"))).alias("status"),
-    )
+        joined = reads.join(small, barcode, "left")
+    else:
+        salts = F.ceil(F.col("n_reads") / reads_per_salt).cast("int")
+        hot = histogram.where(salts > 1).select(barcode, salts.alias("_salts"))
+        several = F.coalesce("_salts", F.lit(1))
+        spread = reads.join(F.broadcast(hot), barcode, "left").withColumn(
+            "_salt", F.when(several > 1, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in reads.columns]), several)).otherwise(0).cast("int"))
+        copied = decisions.join(F.broadcast(hot), barcode, "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), several - 1))).drop("_salts")
+        joined = spread.join(copied, [barcode, "_salt"], "left")
+    return joined.select(
+        *reads.columns, "cb", F.coalesce("alt", F.lit("")).alias("alt"), F.coalesce("status", F.lit("rejected")).alias("status"))
 
 
 def prefix_chunks(whitelist: DataFrame, bases: int) -> DataFrame:

@@ -11,13 +11,19 @@ from ..functions import chemistry as chem
 from ..functions import seq as fx
 from ..operators import barcodes as bc
 from ..operators import demux as op
+from ..session import materialize
+
+
+# What later results read of a judged pair; the sequences are written for valid pairs only.
+FACTS = ("chunk_id", "rid", "cb", "umi", "alt", "status", "has_linker", "ct", "chain", "fate")
+RECORD = ("r1_header", "r1_seq", "r1_qual", "r2_header", "r2_seq", "r2_qual")
 
 
 @dataclass(frozen=True)
 class Demux:
-    """Lazy results of one demultiplexing pass."""
+    """Results of one demultiplexing pass; all read its one written table."""
 
-    reads: DataFrame      # every input pair with its fate
+    reads: DataFrame      # every input pair with its fate, by fate; trimmed sequences of valid pairs
     evidence: DataFrame   # first eligible read per (chunk, cell, UMI)
     funnel: DataFrame     # nested counters per chunk
 
@@ -77,14 +83,16 @@ def demux(
 ) -> Demux:
     """Demultiplex ``reads`` (``chunk_id, rid, r{1,2}_header, r{1,2}_seq, r{1,2}_qual``).
 
-    Apart from barcode correction the read path is narrow: no read is shuffled
-    to be classified or written. Evidence and counters are map-side-combined
-    aggregations over it.
+    Two scans of the reads: one for the histogram of their barcodes, and one in
+    which every pair is assigned, trimmed and judged once and written, by fate.
+    Unless the barcode decisions are too large to broadcast, no read is shuffled.
+    Valid pairs are a directory of that table; evidence and counters are
+    map-side-combined aggregations over its columns without sequences.
     """
     assigned = bc.assign_barcodes(annotate_reads(reads, structure), whitelist, distance=distance)
     judged = trim_and_judge(assigned, chimeric_threshold)
-    # Evidence depends only on columns before trimming; read it from there so
-    # column pruning drops the sequences.
-    evidence = op.first_per_umi(assigned)
-    counts = op.funnel_counts(judged, evidence)
-    return Demux(judged, evidence, op.nest_funnel(counts))
+    written = materialize(
+        judged.select(*FACTS, *[F.when(F.col("fate") == "valid", F.col(c)).alias(c) for c in RECORD]), "judged", "fate"
+    )
+    evidence = op.first_per_umi(written)
+    return Demux(written, evidence, op.nest_funnel(op.funnel_counts(written, evidence)))

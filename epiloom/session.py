@@ -21,7 +21,7 @@ RUNTIME_OPTIONS = {
 # While a table is written: the shuffle files of its query go when it ends, as nothing reads them again.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -86,8 +86,20 @@ def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Hint a broadcast only after counting at most ``max_rows + 1`` rows; else leave the join to Spark."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+def bytes_of(df: DataFrame) -> int:
+    """About how much memory the rows take, from one aggregation: lengths of strings, eight bytes for any other value."""
+    width = F.lit(16)
+    for field in df.schema.fields:
+        text = field.dataType.typeName() in ("string", "binary")
+        width = width + 8 + (F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) if text else F.lit(0))
+    return df.select(F.sum(width.cast("long"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """Hint a broadcast only after measuring at most ``max_bytes``; else leave the join to Spark.
+
+    ``df`` should read a written table or a given list, as it is read once more for the measure.
+    """
+    if bytes_of(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False

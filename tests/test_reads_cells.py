@@ -11,6 +11,7 @@ from epiloom.operators import barcodes as bc
 from epiloom.operators import cells as cl
 from epiloom.operators import saturation as sat
 from epiloom.plans import cells as pc
+from epiloom.plans.demux import demux
 from epiloom.sinks.tables import general_4
 from epiloom.sources import text as tx
 from epiloom.streaming.chunks import demux_new_chunks
@@ -31,7 +32,7 @@ def test_barcode_rules(spark):
         "TNNTT": (None, "", "rejected"),
         "CCCCC": (None, "", "rejected"),
     }
-    for options in ({}, {"broadcast_rows": 0, "hot_reads": 1}, {"broadcast_rows": 0}):
+    for options in ({}, {"max_bytes": 0, "reads_per_salt": 1}, {"max_bytes": 0}):
         got = {r.ocb: (r.cb, r.alt, r.status) for r in bc.assign_barcodes(observed, listed, **options).collect()}
         assert got == want
     off = bc.assign_barcodes(observed, listed, distance=0).where("status = 'exact'")
@@ -195,3 +196,31 @@ def test_short_rows_do_not_count_as_mitochondrial(spark):
     rows = [("a", "chrM", "CGA", 1, 2, 7), ("a", "chrM", "CGA", 5, 5, 6)]
     got = mito_rate(spark.createDataFrame(rows, "cell string, chrom string, context string, mc long, cov long, n_fields int")).first()
     assert (got.mito_mc, got.mito_cov) == (1, 2)
+
+
+def test_frequent_barcodes_are_salted_whatever_their_status(spark):
+    """A third of the reads each on an exact, a corrected and a rejected barcode: every read once, with several salts."""
+    rows = [(i, b) for i, b in enumerate(["AAAAA", "TTTTG", "CCCCC"] * 200 + ["GGGGG"])]
+    reads = spark.createDataFrame(rows, "rid int, ocb string").repartition(3)
+    listed = spark.createDataFrame([("AAAAA",), ("TTTTT",), ("GGGGG",)], "cb string")
+    want = {"AAAAA": ("AAAAA", "exact"), "TTTTG": ("TTTTT", "corrected"), "CCCCC": (None, "rejected"), "GGGGG": ("GGGGG", "exact")}
+    joined = bc.assign_barcodes(reads, listed, max_bytes=0, reads_per_salt=20)
+    assert sorted((r.rid, r.ocb, r.cb, r.status) for r in joined.collect()) == [(i, b, *want[b]) for i, b in rows]
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and plan.count("LocalRelation") <= 2  # the reads once
+
+
+def test_demux_scans_the_reads_twice_and_trims_once(spark, tmp_path, monkeypatch):
+    source = spark.createDataFrame(
+        [(f"{i % 2:04d}", i, f"@r{i} 1", "AAAAA" + "ACGT" * 30, "I" * 125, f"@r{i} 2", "TTAG" * 30, "I" * 120) for i in range(40)],
+        "chunk_id string, rid bigint, r1_header string, r1_seq string, r1_qual string, r2_header string, r2_seq string, r2_qual string")
+    source.write.parquet(str(tmp_path / "reads"))
+    trims = []
+    real = fx.trim_adapters
+    monkeypatch.setattr(fx, "trim_adapters", lambda df: trims.append(1) or real(df))
+    result = demux(spark.read.parquet(str(tmp_path / "reads")), spark.createDataFrame([("AAAAA",)], "cb string"), structure="B5U4")
+    assert len(trims) == 1
+    for table in (result.valid, result.evidence, result.funnel, result.reads):
+        assert str(tmp_path / "reads") not in table._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("reads" in f for f in table.inputFiles() if f.startswith(f"file:{tmp_path}"))
+    assert result.reads.count() == 40 and result.reads.where("fate <> 'valid' AND r1_seq IS NOT NULL").count() == 0

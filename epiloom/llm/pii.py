@@ -12,7 +12,8 @@
 
 The counts cover the whole corpus. Cue occurrences are combined before the shuffle to distinct (cue, value) pairs.
 
-Defined results: NULL counts as the empty text, which has no spans; repeated rows have equal results; input columns
+Defined results: NULL counts as the empty text, which has no spans; texts of any length are searched whole, with places from
+running sums in time about linear in the matches; repeated rows have equal results; input columns
 named ``base`` or ``spans`` are replaced.
 """
 
@@ -23,12 +24,11 @@ from pyspark.sql import functions as F
 
 from epiloom.session import materialize
 
-from .spans import SPAN, as_spans, found, in_order, text_key, with_more
+from .spans import SPAN, as_spans, found, in_order, of_texts, read_once, with_more
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, SHRINK, DAMP = 3, 1.0, 0.8
 MIN_SEEDS, MIN_SCORE = 5, 0.6
-AFTER = 64  # code points in which the word after a value must end
 
 # Written so that a run of one class is searched once: a match starts at a run's first character or where the last
 # match ended, and loops are possessive, so long runs need neither backtracking nor stack.
@@ -61,10 +61,10 @@ def _is_ip(value: Column) -> Column:
 def base_spans(text: Column) -> Column:
     n = lambda m: F.length(_digits(m["value"]))
     return in_order(
-        as_spans(found(text, EMAIL), "email", 0),
-        as_spans(found(text, IP), "ip", 1, lambda m: _is_ip(m["value"])),
-        as_spans(found(text, CARD), "card", 2, lambda m: F.when(n(m).between(14, 19), _luhn(m["value"])).otherwise(False)),
-        as_spans(found(text, PHONE), "phone", 3, lambda m: n(m).between(10, 15)),
+        as_spans(found(text, EMAIL, needs=F.contains(text, F.lit("@"))), "email", 0),
+        as_spans(found(text, IP, needs=text.rlike(r"[0-9]\.[0-9]")), "ip", 1, lambda m: _is_ip(m["value"])),
+        as_spans(found(text, CARD, needs=text.rlike("[0-9][\\x20-]?[0-9]")), "card", 2, lambda m: F.when(n(m).between(14, 19), _luhn(m["value"])).otherwise(False)),
+        as_spans(found(text, PHONE, needs=F.contains(text, F.lit("+"))), "phone", 3, lambda m: n(m).between(10, 15)),
     )
 
 
@@ -84,12 +84,14 @@ def occurrences(text: Column, base: Column) -> Column:
         value = F.when(own.isNull(), F.regexp_replace(m["value"], r"[.!?:]+$", "")).otherwise(F.substring(text, own["start"] + 1, own["end"] - own["start"]))
         last = F.when(own.isNull(), start + F.length(value)).otherwise(end)
         words = F.filter(F.split(F.lower(F.regexp_replace(F.substring(text, m["start"] + 1, start - m["start"]), "[\"'(]", "")), r"\s"), lambda w: w != "")
-        after = F.lower(F.regexp_extract(F.substring(text, last + 1, F.lit(AFTER)), r"^[\"')]?[\x20\n]([\p{L}'-]++)(?=[^\p{L}'-])", 1))
+        after = F.lower(F.regexp_extract(F.substring(text, last + 1, F.length(text)), r"^[\"')]?[\x20\n]([\p{L}'-]++)(?=[^\p{L}'-])", 1))
         left = [F.when(F.size(words) >= k, F.array_join(F.slice(words, -k, k), " ")) for k in (1, 2, 3)]
         cues = F.array_compact(F.array(*left, F.when(after != "", F.concat(left[0], F.lit(" _ "), after))))
         return F.transform(cues, lambda c: F.struct(c.alias("cue"), value.alias("value"), start.alias("start"), last.alias("end"), own["kind"].alias("kind")))
 
-    return F.concat(F.transform(found(text, CUE, 1), one), F.flatten(F.transform(found(text, PROSE, 1), prose)))
+    return F.concat(
+        F.transform(found(text, CUE, 1, needs=text.rlike("[:=#]")), one),
+        F.flatten(F.transform(found(text, PROSE, 1, needs=text.rlike("[0-9@]")), prose)))
 
 
 def learn(pairs: DataFrame) -> DataFrame:
@@ -107,17 +109,17 @@ def learn(pairs: DataFrame) -> DataFrame:
     return good.groupBy("cue").agg(F.max(F.struct("score", F.col("of").alias("kind"))).alias("m")).select("cue", "m.kind", "m.score")
 
 
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``base`` and ``spans``: arrays of (start, rank, end, kind); discovered kinds are named like ``context_email``."""
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    frame = docs.drop("base", "spans").withColumn("base", base_spans(whole))
-    rich = docs.select(whole.alias("t")).filter(F.col("t").rlike(f"{CUE}|{PROSE}"))
-    rich = rich.groupBy(*text_key(F.col("t"))).agg(F.any_value("t").alias("t")).withColumn("base", base_spans(F.col("t")))
-    cues = materialize(rich.select("h1", "h2", "base", F.explode(occurrences(F.col("t"), F.col("base"))).alias("o")).select("h1", "h2", "base", "o.*"), "cues")
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Adds ``base`` and ``spans``: arrays of (start, rank, end, kind); discovered kinds are named like ``context_email``.
+
+    Every text is searched once; all that follows reads what was found. ``keep`` lists the other columns to return.
+    """
+    table = read_once(docs, text, keep, base_spans, occurrences)
+    cues = materialize(of_texts(table).select("h1", "h2", F.explode("found").alias("o")).select("h1", "h2", "o.*"), "cues")
     pairs = cues.groupBy("cue", "value").agg(F.max("kind").alias("kind"))
     accepted = learn(pairs)
     looks = F.col("value").rlike("[0-9@]") & (F.length("value") >= 5)
     fresh = cues.filter(F.col("kind").isNull() & looks).join(accepted.withColumnRenamed("kind", "as"), "cue")
     span = F.struct("start", F.lit(4).alias("rank"), "end", F.concat(F.lit("context_"), "as").alias("kind"))
     more = fresh.groupBy("h1", "h2").agg(F.array_sort(F.collect_set(span)).cast(SPAN).alias("extra"))  # of one text
-    return with_more(frame, whole.rlike(f"{CUE}|{PROSE}"), more, whole)
+    return with_more(table, more)

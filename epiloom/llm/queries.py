@@ -52,7 +52,7 @@ def _of(kind: str, spans: str = "base") -> Column:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", *[_of(k) for k in secrets.KINDS[:3]], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
@@ -75,7 +75,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.scan(table(spark, sf_dir, "documents"))
+    found = pii.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", *[_of(k) for k in pii.KINDS], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 

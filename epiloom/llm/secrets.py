@@ -11,7 +11,8 @@ The link is an interval join on (text, scope bucket). Before it, the parts of a
 last place for each role, which decide the three touching buckets exactly, so a bucket full of parts gives no pairs.
 Equal texts are joined once.
 
-Defined results: NULL counts as the empty text, which has no spans; repeated rows have equal results; input columns
+Defined results: NULL counts as the empty text, which has no spans; texts of any length are searched whole, with places from
+running sums in time about linear in the matches; repeated rows have equal results; input columns
 named ``base`` or ``spans`` are replaced.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from epiloom.session import materialize
 
-from .spans import SPAN, as_spans, found, in_order, masked, outside, text_key, with_more
+from .spans import SPAN, as_spans, found, in_order, masked, of_texts, outside, read_once, with_more
 
 KINDS = ("assign", "access", "hex", "weak_secret", "account", "endpoint")
 SCOPE = 400
@@ -39,8 +40,8 @@ ENDPOINT = r"""(?<![A-Za-z0-9])(?:https?|jdbc:[a-z]{2,12}|amqp|mongodb|postgres(
 
 def base_spans(text: Column) -> Column:
     return in_order(
-        as_spans(found(text, ASSIGN, 2), "assign", 0, lambda m: F.length(m["value"]) >= MIN_VALUE),
-        as_spans(found(text, ACCESS), "access", 1),
+        as_spans(found(text, ASSIGN, 2, needs=text.rlike("[:=]")), "assign", 0, lambda m: F.length(m["value"]) >= MIN_VALUE),
+        as_spans(found(text, ACCESS, needs=F.contains(text, F.lit("AKIA"))), "access", 1),
         as_spans(found(text, HEX), "hex", 2),
     )
 
@@ -48,8 +49,8 @@ def base_spans(text: Column) -> Column:
 def weak_spans(text: Column, base: Column) -> Column:
     return outside(in_order(
         as_spans(found(text, WEAK_SECRET), "weak_secret", 3),
-        as_spans(found(text, ACCOUNT, 1), "account", 4, whole=False),
-        as_spans(found(text, ENDPOINT), "endpoint", 5),
+        as_spans(found(text, ACCOUNT, 1, needs=text.rlike("[:=]")), "account", 4, whole=False),
+        as_spans(found(text, ENDPOINT, needs=F.contains(text, F.lit("://"))), "endpoint", 5),
     ), base)
 
 
@@ -76,17 +77,15 @@ def link(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     return marks.filter(good).select("h1", "h2", F.struct("start", "rank", "end", "kind").alias("span"))
 
 
-def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
-    """Adds ``base`` and ``spans``: arrays of (start, rank, end, kind)."""
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    frame = docs.drop("base", "spans").withColumn("base", base_spans(whole))
-    weak = weak_spans(whole, F.col("base"))
-    rich = docs.select(whole.alias("t")).filter(F.col("t").rlike(f"{WEAK_SECRET}|{ACCOUNT}|{ENDPOINT}"))
-    rich = rich.groupBy(*text_key(F.col("t"))).agg(F.any_value("t").alias("t")).withColumn("base", base_spans(F.col("t")))
-    parts = materialize(
-        rich.select("h1", "h2", F.explode(F.concat("base", weak_spans(F.col("t"), F.col("base")))).alias("s")).select("h1", "h2", "s.*"), "parts")
+def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE, keep: list[str] | None = None) -> DataFrame:
+    """Adds ``base`` and ``spans``: arrays of (start, rank, end, kind); ``keep`` lists the other columns to return.
+
+    Every text is searched once; the link reads what was found.
+    """
+    table = read_once(docs, text, keep, base_spans, weak_spans)
+    parts = materialize(of_texts(table).select("h1", "h2", F.explode(F.concat("base", "found")).alias("s")).select("h1", "h2", "s.*"), "parts")
     more = link(parts, scope).groupBy("h1", "h2").agg(F.array_sort(F.collect_set("span")).cast(SPAN).alias("extra"))  # of one text
-    return with_more(frame, F.size(weak) > 0, more, whole)
+    return with_more(table, more)
 
 
 def redact(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from epiloom.operators.ranks import with_rank
 from epiloom.functions.seq import cell_from_read_name
 from epiloom.operators import cells as cl
 from epiloom.plans import cells as pc
@@ -120,8 +121,7 @@ def join_fr_full_outer(t):
       GROUP BY cell) g""")
 def set_union_barcodes(t):
     merged = cl.union_cells(t.fx_even_cells, t.fx_third_cells, order="ord")
-
-    return merged.select("cell", F.row_number().over(Window.orderBy("seen", "cell")).alias("nth"))
+    return with_rank(merged, ["seen", "cell"], "nth").select("cell", (F.col("nth") + 1).cast("int").alias("nth"))
 
 
 @query("set_intersect_cells", "SELECT cell FROM fx_even_cells INTERSECT SELECT cell FROM fx_alignments")
@@ -167,7 +167,5 @@ def snk_count_tables(t):
     sk.write_count_table(t.fx_skewed_counts, path)
 
     back = t.spark.read.option("header", True).csv(path)
-    in_file_order = Window.orderBy(F.col("path"), F.col("line_id"))
-    return back.select(
-        "barcode", "reads", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line_id")
-    ).select("barcode", "reads", F.row_number().over(in_file_order).alias("line"))
+    placed = back.select("barcode", "reads", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("line_id"))
+    return with_rank(placed, ["path", "line_id"], "line").select("barcode", "reads", (F.col("line") + 1).cast("int").alias("line"))

@@ -94,9 +94,10 @@ def agg_context_rates(t):
     FROM (SELECT cell, cast(sum(CASE WHEN context LIKE 'CG%' THEN number ELSE 0 END) AS bigint) AS total_cpg_number
           FROM fx_context_counts GROUP BY cell) c
     LEFT JOIN (SELECT * FROM fx_context_counts WHERE genome_cov IS NOT NULL
-               QUALIFY row_number() OVER (PARTITION BY cell ORDER BY context) = 1) f ON c.cell = f.cell""")
+               QUALIFY row_number() OVER (PARTITION BY cell ORDER BY md5(context)) = 1) f ON c.cell = f.cell""")
 def agg_total_cpg(t):
-    return st.total_cpg(t.fx_context_counts)
+    """In an order of rows that is not that of the context names."""
+    return st.total_cpg(t.fx_context_counts.withColumn("line", F.md5("context")))
 
 
 @query("agg_mito_rate", """

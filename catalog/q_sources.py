@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from epiloom.operators import cells as cl
 from epiloom.operators import regions as rg
 from epiloom.operators import smoothing as sm
 from epiloom.operators.demux import pool_funnels
+from epiloom.operators.ranks import with_rank
 from epiloom.plans import methylation as me
 from epiloom.sinks import tables as sk
 from epiloom.sources import reports as rp
@@ -72,12 +72,18 @@ def src_allc_sites(t):
     return tx.read_sites(t.spark, write_sites(t, t.fx_sites), cell_pattern="cell=([^/]+)/")
 
 
-@query("src_cell_from_filename", "SELECT cell AS a, cell AS b, concat(cell, '.x') AS c FROM fx_all_cells")
+@query("src_cell_from_filename", """
+    SELECT concat(cell, suffix) AS cell, kind, 1 AS n_rows FROM fx_all_cells,
+           (VALUES ('', 'sites'), ('', 'counts'), ('.x', 'sites')) AS v(suffix, kind)""")
 def src_cell_from_filename(t):
-    name = lambda suffix: tx.cell_from_path(F.concat(F.lit("/work/c1/"), "cell", F.lit(suffix)))
-    return t.fx_all_cells.select(
-        name("_allc.gz").alias("a"), name("_allc.gz.count.csv").alias("b"), name(".x_allc.gz").alias("c")
-    )
+    """Files of every kind, one a cell, written and read: the cell comes from the path of the file that holds the row."""
+    path = t.path("files")
+    names = F.explode(F.array(*[F.struct(F.concat("cell", F.lit(end)).alias("file"), F.lit(kind).alias("kind")) for end, kind in (
+        ("_allc.gz", "sites"), ("_allc.gz.count.csv", "counts"), (".x_allc.gz", "sites"))]))
+    t.fx_all_cells.select(names.alias("n")).select("n.file", F.col("n.kind").alias("value")).write.partitionBy("file").text(path)
+    read = t.spark.read.text(f"{path}/*").select(
+        tx.cell_from_path(F.regexp_extract(F.col("_metadata.file_path"), "^(.*/file=[^/]+)/", 1)).alias("cell"), F.col("value").alias("kind"))
+    return read.groupBy(F.replace("cell", F.lit("file="), F.lit("")).alias("cell"), "kind").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
 
 
 @query("src_bed_regions", """
@@ -87,9 +93,7 @@ def src_bed_regions(t):
         lines("chrom", "start", "end", F.lit("name"), F.lit("0")), F.lit("# comment"), F.lit("")
     )).alias("value"))
     bed = tx.read_bed(t.spark, write_lines(rows, t.path("regions")))
-    return bed.select(
-        F.row_number().over(Window.orderBy("region_ord")).alias("nth"), "chrom", "start", "end"
-    )
+    return with_rank(bed, ["region_ord"], "nth").select((F.col("nth") + 1).cast("int").alias("nth"), "chrom", "start", "end")
 
 
 @query("src_chrom_sizes", """
@@ -105,14 +109,16 @@ def src_chrom_sizes(t):
 
 @query("src_barcode_counts", "SELECT barcode, reads FROM fx_totals")
 def src_barcode_counts(t):
-    one, two = t.path("counts-a"), t.path("counts-b")
-    counts = t.fx_barcode_counts
-    counts.where("strand = 'forward'").select("barcode", "aligned_reads").write.option("header", True).csv(one)
+    """Files of two layouts in one folder, the columns in another order: each is read by its own header."""
+    path, counts = t.path("counts"), t.fx_barcode_counts
+    forward = counts.where("strand = 'forward'")
+    forward.where("chunk_id = '0001'").select("barcode", "aligned_reads").write.option("header", True).csv(path)
+    forward.where("chunk_id <> '0001'").select("aligned_reads", F.lit('a,"b"').alias("note"), "barcode").write.mode("append").option("header", True).csv(path)
     bad = counts.where("strand = 'reverse'").select(F.lit("n/a").alias("reads_counts"), "barcode")
     counts.where("strand = 'reverse'").select(F.col("aligned_reads").cast("string").alias("reads_counts"), "barcode").unionByName(
         bad
-    ).write.option("header", True).csv(two)
-    return rp.read_barcode_counts(t.spark, one, two)
+    ).write.mode("append").option("header", True).csv(path)
+    return rp.read_barcode_counts(t.spark, path)
 
 
 @query("src_funnel_json", POOL_SQL.format(ctot="ctot"))
@@ -164,7 +170,7 @@ def src_context_counts(t):
     t.fx_context_counts.repartition("cell").select("cell", "context", "mc", "cov", "number", "genome_cov").write.partitionBy(
         "cell"
     ).option("header", True).csv(path)
-    return rp.read_context_counts(t.spark, f"{path}/*", cell_pattern="cell=([^/]+)/")
+    return rp.read_context_counts(t.spark, f"{path}/*", cell_pattern="cell=([^/]+)/").drop("line")
 
 
 @query("src_key_maps", """
@@ -172,7 +178,10 @@ def src_context_counts(t):
       (SELECT 7 AS reads) found, (SELECT cast(NULL AS int) AS reads) missing""")
 def src_key_maps(t):
     path = t.path("map")
-    t.fx_key_map.unionByName(t.fx_key_map.select(F.lit(" ").alias("m_cb"), "gex_cb")).write.option("header", True).csv(path)
+    odd = F.crc32("m_cb") % 2 == 1
+    t.fx_key_map.where(~odd).unionByName(t.fx_key_map.select(F.lit(" ").alias("m_cb"), "gex_cb")).write.option("header", True).csv(path)
+    # further files of the folder have their columns in another order
+    t.fx_key_map.where(odd).select("gex_cb", F.lit("x,y").alias("note"), "m_cb").write.mode("append").option("header", True).csv(path)
     keys = rp.read_key_map(t.spark, path, "m_cb", "gex_cb")
     table = t.fx_all_cells.select(F.col("cell").alias("sample_id"), F.lit(7).alias("reads"))
     found = rp.lookup_sample(table, "c000000", ["reads"])
@@ -245,7 +254,7 @@ def snk_vmr_bed(t):
     read = t.spark.read.schema(schema).option("sep", "\t").csv(path).select(
         "*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("id")
     )
-    return read.select(F.row_number().over(Window.orderBy("path", "id")).alias("line"), "chrom", "s", "e", "n_sites", "n_cells")
+    return with_rank(read, ["path", "id"], "line").select((F.col("line") + 1).cast("int").alias("line"), "chrom", "s", "e", "n_sites", "n_cells")
 
 
 @query("snk_sparse_matrix", """

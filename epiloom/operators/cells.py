@@ -149,7 +149,7 @@ def sample_cells(
         return good
     if max_cells <= 0:
         raise ValueError("max_cells must be > 0")
-    return good.orderBy(F.xxhash64(F.lit(seed), F.col("barcode")), "barcode").limit(max_cells)
+    return good.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), "barcode"), 256), "barcode").limit(max_cells)
 
 
 def good_cells(counts: DataFrame, available: DataFrame, threshold: float = 100) -> DataFrame:

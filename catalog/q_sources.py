@@ -279,19 +279,20 @@ def snk_sparse_matrix(t):
     FROM (SELECT unnest(['fraction', 'residual', 'total', 'methylated']) AS kind) k, fx_all_cells c, ox_region_index i
     LEFT JOIN ox_region_cell r ON r.cell = c.cell AND r.region_idx = i.region_idx""")
 def snk_dense_matrix(t):
-    path = t.path("dense")
-    tables = me.region_matrix(t.fx_encoded, smoothed_table(t), t.fx_regions, t.fx_all_cells, dense=True)
-    sk.write_dense_matrix(tables, path)
+    path, smoothed = t.path("dense"), smoothed_table(t)
+    tables = me.region_matrix(t.fx_encoded, smoothed, t.fx_regions, t.fx_all_cells, dense=True)
+    sk.write_dense_matrix(tables, rg.index_regions(t.fx_regions, smoothed), path)
     kinds = {
         "fraction": "methylation_fractions", "residual": "mean_shrunken_residuals",
         "total": "total_sites", "methylated": "methylated_sites",
     }
     out = None
     for kind, name in kinds.items():
-        wide = t.spark.read.option("header", True).csv(f"{path}/{name}.csv")
-        regions = [c for c in wide.columns if c != "cell"]
-        long = wide.unpivot(["cell"], [f"`{c}`" for c in regions], "region", "value").select(
-            F.lit(kind).alias("kind"), "cell", F.col("region"), F.col("value").cast("double").alias("value")
+        fields = t.spark.read.text(f"{path}/{name}.csv").select(F.split("value", ",").alias("f"))
+        fields = fields.select(F.col("f")[0].alias("cell"), F.posexplode("f").alias("at", "value")).where("at > 0")
+        named = fields.where("cell = 'cell'").select("at", F.col("value").alias("region"))
+        long = fields.where("cell <> 'cell'").join(named, "at").select(
+            F.lit(kind).alias("kind"), "cell", "region", F.nullif("value", F.lit("")).cast("double").alias("value")
         )
         out = long if out is None else out.unionByName(long)
     return out

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sites import region_name
+from ..session import materialize
 from .position_join import join_sites
 from .ranks import with_rank
 from .smoothing import chrom_extents
@@ -144,37 +145,39 @@ def min_cells_filter(vmrs: DataFrame, min_cells: int, *, require: bool = True) -
     return kept
 
 
-def dense_tables(
-    region_cells: DataFrame, cells: DataFrame, regions: DataFrame, *, max_columns: int = 10_000
-) -> dict[str, DataFrame]:
-    """Four cell × region tables (fraction, residual, total, methylated), one row per listed cell.
+COLUMN_BLOCK = 256  # regions in one array
 
-    Counts and fractions are 0 without coverage, residuals stay NULL. One column
-    per region, so the region list must be short; use the sparse form otherwise.
+
+def dense_tables(region_cells: DataFrame, cells: DataFrame, regions: DataFrame) -> dict[str, DataFrame]:
+    """Four cell × region tables (fraction, residual, total, methylated), as ``cell_idx, cell, block, values``.
+
+    ``values`` holds the regions ``block * COLUMN_BLOCK`` and following in the
+    order of ``region_idx``, for every listed cell and block: counts and
+    fractions are 0 without coverage, residuals NULL. Regions are columns by
+    number, not by name, so their number is free and one may be listed twice.
     """
-    names = [r["region_name"] for r in regions.orderBy("region_idx").limit(max_columns + 1).select("region_name").collect()]
-    if len(names) > max_columns:
-        raise ValueError(f"more than {max_columns} regions: use the sparse matrix")
-    named = region_cells.join(
-        regions.select("region_idx", "region_name"), "region_idx"
+    n_regions = regions.count()
+    if not n_regions:
+        raise ValueError("no regions")
+    n_blocks = -(-n_regions // COLUMN_BLOCK)
+    fields = ("mfrac", "resid", "n_total", "n_meth")
+    at = F.col("region_idx") % COLUMN_BLOCK
+    filled = region_cells.groupBy("cell", F.floor(F.col("region_idx") / COLUMN_BLOCK).cast("int").alias("block")).agg(
+        F.map_from_entries(F.collect_list(F.struct(at.alias("at"), F.struct(*fields).alias("v")))).alias("found")  # at most COLUMN_BLOCK
+    )
+    grid = cells.select("cell_idx", "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    width = F.least(F.lit(COLUMN_BLOCK), F.lit(n_regions) - F.col("block") * COLUMN_BLOCK)
+    # Written once: four tables read it.
+    dense = materialize(
+        grid.join(filled, ["cell", "block"], "left").select(
+            "cell_idx", "cell", "block", F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.element_at("found", i)).alias("all")
+        ),
+        "dense",
     )
     values = {
-        "methylation_fractions": ("mfrac", 0.0),
-        "mean_shrunken_residuals": ("resid", None),
-        "total_sites": ("n_total", 0),
-        "methylated_sites": ("n_meth", 0),
+        "methylation_fractions": lambda x: F.coalesce(x["mfrac"], F.lit(0.0)),
+        "mean_shrunken_residuals": lambda x: F.nanvl(x["resid"], F.lit(None).cast("double")),
+        "total_sites": lambda x: F.coalesce(x["n_total"], F.lit(0)),
+        "methylated_sites": lambda x: F.coalesce(x["n_meth"], F.lit(0)),
     }
-    tables = {}
-    for table, (column, missing) in values.items():
-        wide = named.groupBy("cell").pivot("region_name", names).agg(F.max(column))
-        wide = cells.select("cell_idx", "cell").join(wide, "cell", "left")
-        quoted = [F.col(f"`{n}`") for n in names]
-        tables[table] = wide.select(
-            "cell_idx",
-            "cell",
-            *[
-                (F.nanvl(c, F.lit(None)) if missing is None else F.coalesce(c, F.lit(missing))).alias(n)
-                for c, n in zip(quoted, names)
-            ],
-        )
-    return tables
+    return {name: dense.select("cell_idx", "cell", "block", F.transform("all", value).alias("values")) for name, value in values.items()}

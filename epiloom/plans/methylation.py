@@ -111,7 +111,7 @@ def region_matrix(
     include_last_site: bool = False,
     **join_options,
 ) -> DataFrame | dict[str, DataFrame]:
-    """Cell × region matrix: long ``(cell_idx, region_idx, residual, mfrac, coverage)`` or four wide tables.
+    """Cell × region matrix: long ``(cell_idx, region_idx, residual, mfrac, coverage)`` or four tables by blocks of regions.
 
     ``regions`` needs ``region_ord, chrom, start, end``; without it the VMR table
     is used. ``cells`` needs ``cell_idx, cell``. A NaN residual becomes NULL.

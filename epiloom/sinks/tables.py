@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.rates import or_na
 from ..functions.sites import region_name
 from ..operators.position_join import BLOCK_WIDTH, STORE_WIDTH
+from ..operators.regions import COLUMN_BLOCK
 
 
 def prefix_layout(valid: DataFrame, bases: int) -> DataFrame:
@@ -122,11 +123,26 @@ def write_sparse_matrix(matrix: DataFrame, regions: DataFrame, cells: DataFrame,
     )
 
 
-def write_dense_matrix(tables: dict[str, DataFrame], path: str) -> None:
+def write_dense_matrix(tables: dict[str, DataFrame], regions: DataFrame, path: str) -> None:
+    """One CSV per table: the first line names the regions, then a line per cell, in order over the part files.
+
+    A line is put together from its blocks where it is written; no list of regions or cells reaches the driver.
+    """
+    block = F.floor(F.col("region_idx") / COLUMN_BLOCK).alias("block")
+
+    def in_order(key: str, text: str) -> Column:
+        pairs = F.array_sort(F.collect_list(F.struct(key, text)))
+        return F.array_join(F.transform(pairs, lambda p: p[text]), ",").alias("text")
+
+    names = regions.groupBy(block).agg(in_order("region_idx", "region_name"))
+    head = names.groupBy().agg(in_order("block", "text"))
+    head = head.select(F.lit(-1).cast("long").alias("ord"), F.concat_ws(",", F.lit("cell"), "text").alias("value"))
     for name, table in tables.items():
-        table.orderBy("cell_idx").drop("cell_idx").write.mode("overwrite").options(
-            header=True, compression="gzip"
-        ).csv(f"{path}/{name}.csv")
+        text = F.array_join(F.transform("values", lambda v: v.cast("string")), ",", "")
+        rows = table.select("cell_idx", "cell", "block", text.alias("text")).groupBy("cell_idx", "cell").agg(
+            in_order("block", "text")
+        ).select(F.col("cell_idx").cast("long").alias("ord"), F.concat_ws(",", "cell", "text").alias("value"))
+        head.unionByName(rows).orderBy("ord").select("value").write.mode("overwrite").option("compression", "gzip").text(f"{path}/{name}.csv")
 
 
 def summary_view(table: DataFrame, columns: Sequence[str]) -> DataFrame:

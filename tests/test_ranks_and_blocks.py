@@ -130,3 +130,27 @@ def test_store_is_pruned_by_stretch(spark, tmp_path):
     half = 200  # over the border of two directories
     dim = spark.createDataFrame([("chr1", 2 * STORE_WIDTH, 1, b) for b in (127, 128)], "chrom string, pos int, n_obs long, block int")
     assert {(r.pos, r.block) for r in join_sites(store, dim, halo=half).collect()} == {(2 * STORE_WIDTH, 127), (2 * STORE_WIDTH, 128)}
+
+
+def test_dense_tables_of_many_regions_and_a_repeated_one(spark, tmp_path):
+    """25,000 regions, one listed twice: every cell has every region, in order, and the files are whole."""
+    n, cells = 25_000, ["c0", "c1", "empty"]
+    listed = [(i, "chr1", 10 * (i % (n - 1)), 10 * (i % (n - 1)) + 9, f"chr1:{10 * (i % (n - 1))}-{10 * (i % (n - 1)) + 9}") for i in range(n)]
+    regions = spark.createDataFrame(listed, "region_idx int, chrom string, start int, end int, region_name string")
+    rows = [(i, c, 0.5, float("nan") if i % 1000 == 0 else 0.25, i + 1, i) for i in range(0, n, 250) for c in ("c0", "c1") if i % 500 == 0 or c == "c0"] + [(n - 1, "c1", 1.0, 0.1, 3, 3)]
+    found = spark.createDataFrame(rows, "region_idx int, cell string, mfrac double, resid double, n_total long, n_meth long")
+    names = spark.createDataFrame(list(enumerate(cells)), "cell_idx int, cell string")
+    tables = rg.dense_tables(found, names, regions)
+    want = {(c, i): (f, r, t, m) for i, c, f, r, t, m in rows}
+    for number, (name, table) in enumerate(tables.items()):
+        got = {}
+        for r in table.collect():
+            got.update({(r.cell, r.block * rg.COLUMN_BLOCK + k): v for k, v in enumerate(r["values"])})
+        none = None if name == "mean_shrunken_residuals" else 0
+        nan_as_null = lambda v: None if v != v else v
+        assert got == {(c, i): nan_as_null(want[c, i][number]) if (c, i) in want else none for c in cells for i in range(n)}
+    sk.write_dense_matrix({"total_sites": tables["total_sites"]}, regions, str(tmp_path))
+    files = sorted((tmp_path / "total_sites.csv").glob("part-*"))
+    lines = [line for f in files for line in __import__("gzip").open(f, "rt").read().splitlines()]
+    assert lines[0].split(",") == ["cell", *[r[4] for r in listed]]
+    assert [x.split(",")[0] for x in lines[1:]] == cells and all(len(x.split(",")) == n + 1 for x in lines)

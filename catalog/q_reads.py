@@ -10,6 +10,7 @@ from epiloom.operators import barcodes as bc
 from epiloom.operators import demux as dm
 from epiloom.plans.demux import annotate_reads, demux as run_demux
 from epiloom.sinks import tables as sk
+from epiloom.sources import text as tx
 
 from .fixtures import FIXTURES
 from .registry import query
@@ -326,6 +327,12 @@ def demux(t):
     return demuxed(t).valid
 
 
+def fastq_shards(t):
+    path = t.path("fastq")
+    sk.write_fastq_shards(demuxed(t).valid, path, bases=2)
+    return path
+
+
 def shards(t):
     path = t.path("shards")
     sk.write_prefix_shards(demuxed(t).valid, path, bases=2)
@@ -333,11 +340,16 @@ def shards(t):
 
 
 @query("snk_prefix_shards", """
-    SELECT left(cb, 2) AS prefix, chain, count(*) AS pairs, count(DISTINCT cb) AS cells FROM ox_fate WHERE fate = 'valid' GROUP BY 1, 2""")
+    SELECT left(cb, 2) AS prefix, chain, concat('@', cb, '_', umi, '_', chain, '_', alt, '_read', rid, ':', cb, ' 1:N:0') AS r1_name, r1_seq, r1_qual,
+           concat('@', cb, '_', umi, '_', chain, '_', alt, '_read', rid, ':', cb, ' 2:N:0') AS r2_name, r2_seq, r2_qual
+    FROM ox_fate WHERE fate = 'valid'""")
 def snk_prefix_shards(t):
-    return shards(t).groupBy("prefix", "chain").agg(
-        F.count(F.lit(1)).alias("pairs"), F.count_distinct("cb").alias("cells")
-    )
+    """FASTQ shards read back as pairs of mates."""
+    path = fastq_shards(t)
+    pairs = tx.read_pairs(t.spark, f"{path}/mate=1", f"{path}/mate=2", chunk_pattern=sk.FASTQ_CHUNK)
+    part = lambda name: F.regexp_extract("chunk_id", f"{name}=([^/]*)/", 1).alias(name)
+    return pairs.select(
+        part("prefix"), part("chain"), F.col("r1_header").alias("r1_name"), "r1_seq", "r1_qual", F.col("r2_header").alias("r2_name"), "r2_seq", "r2_qual")
 
 
 @query("set_regroup_shards", """
@@ -347,17 +359,15 @@ def set_regroup_shards(t):
 
 
 @query("snk_chunk_manifest", """
-    SELECT prefix AS chunk_id, prefix, stream, count(*) AS subshard_count, string_agg(path, ';' ORDER BY path) AS subshard_paths
-    FROM (SELECT DISTINCT left(cb, 2) AS prefix, concat(chain, '_', mate) AS stream,
-                 concat('shards/', chunk_id, '__', left(cb, 2), '.', chain, '_', mate) AS path
-          FROM ox_fate, (SELECT unnest([1, 2]) AS mate) m WHERE fate = 'valid') p
-    GROUP BY prefix, stream""")
+    SELECT left(cb, 2) AS chunk_id, left(cb, 2) AS prefix, concat(chain, '_', mate) AS stream, count(*) AS pairs, true AS counted
+    FROM ox_fate, (SELECT unnest([1, 2]) AS mate) m WHERE fate = 'valid' GROUP BY ALL""")
 def snk_chunk_manifest(t):
-    files = (
-        sk.prefix_layout(demuxed(t).valid, 2)
-        .select("chunk_id", "prefix", "chain").distinct()
-        .withColumn("mate", F.explode(F.array(F.lit(1), F.lit(2))))
-        .withColumn("stream", F.concat_ws("_", "chain", "mate"))
-        .select("prefix", "stream", F.concat(F.lit("shards/"), "chunk_id", F.lit("__"), "prefix", F.lit("."), "stream").alias("path"))
-    )
-    return sk.chunk_manifest(files)
+    """The manifest of files really written: each is opened by the name it has there."""
+    path = fastq_shards(t)
+    manifest = sk.chunk_manifest(sk.shard_files(t.spark, path))
+    listed = manifest.select("chunk_id", "prefix", "stream", "subshard_count", F.explode(F.split("subshard_paths", ";")).alias("file"))
+    lines = t.spark.read.option("recursiveFileLookup", True).text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/").alias("file")
+    found = listed.withColumn("file", plain("file")).join(lines.withColumn("file", plain("file")), "file")
+    return found.groupBy("chunk_id", "prefix", "stream").agg(
+        (F.sum("n") / 4).cast("long").alias("pairs"), (F.count(F.lit(1)) == F.max("subshard_count")).alias("counted"))

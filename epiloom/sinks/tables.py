@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rates import or_na
@@ -21,18 +21,50 @@ def prefix_layout(valid: DataFrame, bases: int) -> DataFrame:
 
 
 def write_prefix_shards(valid: DataFrame, path: str, bases: int = 0) -> None:
-    """Demultiplexed pairs by barcode prefix and chain.
+    """Demultiplexed pairs by barcode prefix and chain, as Parquet.
 
-    Each task writes into the shards it meets; nothing is shuffled, so a prefix
-    holding most reads is still written by every task.
+    One shuffle by shard, in which Spark splits shards larger than its advisory
+    partition size and joins small ones: the number of files follows the bytes
+    and not tasks times shards, and a prefix holding most reads has many writers.
     """
-    prefix_layout(valid, bases).write.mode("overwrite").partitionBy("prefix", "chain").parquet(path)
+    dealt = rebalanced(prefix_layout(valid, bases), "prefix", "chain")
+    dealt.write.mode("overwrite").partitionBy("prefix", "chain").parquet(path)
+
+
+# Of a path below write_fastq_shards: equal for both mates of the same pairs.
+FASTQ_CHUNK = r"/(prefix=[^/]*/chain=[^/]*/part-[0-9]+)"
+
+
+def write_fastq_shards(valid: DataFrame, path: str, bases: int = 0, compression: str = "gzip") -> None:
+    """The same shards as FASTQ: ``mate=M/prefix=P/chain=C/part-N*``, four lines a record.
+
+    A task writes both mates of its pairs, each in the order of (chunk, read), so
+    files with one part number hold the same pairs line by line; read them back
+    with ``read_pairs(.., chunk_pattern=FASTQ_CHUNK)``.
+    """
+    dealt = rebalanced(prefix_layout(valid, bases), "prefix", "chain")
+    records = [
+        F.struct(F.lit(m).alias("mate"), F.concat_ws("\n", f"r{m}_name", f"r{m}_seq", F.lit("+"), f"r{m}_qual").alias("value")) for m in (1, 2)
+    ]
+    mates = dealt.select("prefix", "chain", "chunk_id", "rid", F.inline(F.array(*records)))
+    # sorted as the writer wants it, so that it does not sort again and lose the order inside a file
+    placed = mates.sortWithinPartitions("mate", "prefix", "chain", "chunk_id", "rid")
+    placed.select("mate", "prefix", "chain", "value").write.mode("overwrite").option("compression", compression).partitionBy(
+        "mate", "prefix", "chain"
+    ).text(path)
+
+
+def shard_files(spark: SparkSession, path: str) -> DataFrame:
+    """``prefix, stream, path`` of every file that :func:`write_fastq_shards` has written, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+    return files.select(part("prefix").alias("prefix"), F.concat_ws("_", part("chain"), part("mate")).alias("stream"), "path")
 
 
 def chunk_manifest(files: DataFrame) -> DataFrame:
     """``chunk_id, prefix, stream, subshard_count, subshard_paths`` from ``prefix, stream, path``.
 
-    One group is the file list of one shard (as many paths as read chunks).
+    One group is the file list of one shard, whose number of files follows its bytes.
     """
     return files.groupBy("prefix", "stream").agg(
         F.count(F.lit(1)).alias("subshard_count"),

@@ -6,10 +6,10 @@ labelled good documents of the holdout give the number of false rejections; a cu
 corrected for all strata, rules and cutoffs tested (Bonferroni), so with probability ``1 - delta`` no stratum loses more
 than ``risk`` of its good documents, all rules together. Each rule takes its strictest allowed cutoff, or is off.
 
-Strata beyond the ``max_strata`` most frequent ones share one stratum, so the cutoff table has a bounded size.
+Every stratum has cutoffs of its own, however many there are: the cutoff table is joined to the documents.
 
-Defined results: NULL and empty texts have no words, fail the base rule and are in no holdout; a NULL stratum is one of
-the strata that share; labels with a NULL id or label count for nothing, and of several the smallest holds; repeated
+Defined results: NULL and empty texts have no words, fail the base rule and are in no holdout; a NULL stratum is a
+stratum like others; very long texts are walked as slices of their own; a document whose stratum has no holdout meets no rule; labels with a NULL id or label count for nothing, and of several the smallest holds; repeated
 rows have equal verdicts (and count as often as they occur); clashing input columns are replaced.
 """
 
@@ -29,7 +29,6 @@ from epiloom.session import materialize
 from . import textcore as tc
 
 RISK, DELTA = 0.02, 0.05
-MAX_STRATA = 200
 MIN_WORDS, MAX_REPEAT = 50, 50  # base rule: words at least, percent of repeated words at most
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -139,44 +138,46 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
 
 
-def stratum_of(frame: DataFrame, column: str, max_strata: int) -> DataFrame:
-    """Adds ``stratum``: the value of ``column`` if it is one of the most frequent ones, else NULL."""
-    value = F.col(f"`{column}`").cast("string")
-    frequent = frame.filter(value.isNotNull()).groupBy(value.alias("stratum")).count().orderBy(F.desc("count"), "stratum").limit(max_strata)
-    names = [r.stratum for r in frequent.collect()]  # at most max_strata
-    return frame.withColumn("stratum", F.when(value.isin(names) if names else F.lit(False), value))
+def choose_cutoffs(good: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """One row per stratum of the holdout: ``stratum``, its good rows ``n`` and a column per rule, the cutoff or NULL for off.
 
-
-def choose_cutoffs(good: DataFrame, risk: float = RISK, delta: float = DELTA) -> list[tuple]:
-    """(stratum, rule, cutoff, false rejections, holdout size, bound) of every allowed rule; ``good`` has stratum and counts."""
+    ``good`` has ``stratum`` and the counts. The counts of false rejections are summed by Spark and the bounds are computed where
+    the strata's rows lie, so the number of strata is free; only that number reaches the driver.
+    """
     tests = [(rule, cutoff, F.sum((F.expr(rate) > cutoff).cast("long"))) for rule, (rate, grid) in RULES.items() for cutoff in grid]
-    found = good.filter(~base_failed()).groupBy("stratum").agg(F.count("*").alias("n"), *[e.alias(f"t{i}") for i, (_, _, e) in enumerate(tests)]).collect()
-    level = delta / max(1, len(found) * len(tests))
-    out = []
-    for row in found:
-        done = set()
-        for i, (rule, cutoff, _) in enumerate(tests):  # from strict to lax
-            if rule not in done:
-                bound = upper_bound(row[f"t{i}"], row.n, level)
-                if bound <= risk / len(RULES):
-                    done.add(rule)
-                    out.append((row.stratum, rule, cutoff, row[f"t{i}"], row.n, bound))
-    return out
+    counted = good.filter(~base_failed()).groupBy("stratum").agg(F.count("*").alias("n"), *[e.alias(f"t{i}") for i, (_, _, e) in enumerate(tests)])
+    counted = materialize(counted, "strata")
+    level = delta / max(1, counted.count() * len(tests))
+    schema = T.StructType([
+        T.StructField("stratum", T.StringType()), T.StructField("n", T.LongType()), *[T.StructField(f"cut_{r}", T.DoubleType()) for r in RULES]])
+
+    def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                chosen = {}
+                for i, (rule, cutoff) in enumerate(grid_of_tests):  # from strict to lax
+                    if rule not in chosen and upper_bound(row[f"t{i}"], row["n"], level) <= risk / len(RULES):
+                        chosen[rule] = cutoff
+                out.append({"stratum": row["stratum"], "n": row["n"], **{f"cut_{r}": chosen.get(r) for r in RULES}})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("stratum", pa.string()), ("n", pa.int64()), *[(f"cut_{r}", pa.float64()) for r in RULES]]))
+
+    grid_of_tests = [(rule, cutoff) for rule, cutoff, _ in tests]
+    return counted.mapInArrow(bounds, schema)
 
 
 def verdicts(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str = "lang", label: str = "quality",
-    risk: float = RISK, delta: float = DELTA, max_strata: int = MAX_STRATA,
+    risk: float = RISK, delta: float = DELTA,
 ) -> DataFrame:
     """(id, stratum column, counts, base_failed, rejected_by, kept) of every document."""
-    frame = materialize(counts(docs, text, [id, stratum]), "counts")
-    frame = stratum_of(frame, stratum, max_strata)
+    frame = materialize(counts(docs, text, [id, stratum]), "counts").withColumn("stratum", F.col(f"`{stratum}`").cast("string"))
     good = labels.filter(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id)).agg(F.min(label).alias("__label")).filter("__label = 1")
-    chosen = choose_cutoffs(frame.join(good, id, "left_semi"), risk, delta)
-    rejects = [
-        F.when(F.col("stratum").eqNullSafe(F.lit(s)) & (F.expr(RULES[rule][0]) > cutoff), F.lit(rule)) for s, rule, cutoff, *_ in chosen
-    ]  # at most max_strata + 1 times the number of rules
-    by_rule = F.array_compact(F.array(*rejects)) if rejects else F.array().cast("array<string>")
+    # a row per stratum: Spark broadcasts it if it is small, else AQE splits the strata that hold many documents
+    chosen = materialize(choose_cutoffs(frame.join(good, id, "left_semi"), risk, delta), "cutoffs").drop("n").withColumnRenamed("stratum", "__of")
+    met = frame.join(chosen, F.col("stratum").eqNullSafe(F.col("__of")), "left")
+    by_rule = F.array_compact(F.array(*[F.when(F.expr(rate) > F.col(f"cut_{rule}"), F.lit(rule)) for rule, (rate, _) in RULES.items()]))
     safe = F.when(F.col("n_words") > 0, by_rule).otherwise(F.array().cast("array<string>"))
-    out = frame.withColumn("base_failed", base_failed()).withColumn("rejected_by", safe)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("stratum")
+    out = met.withColumn("base_failed", base_failed()).withColumn("rejected_by", safe)
+    dropped = [c for c in ("stratum", "__of", *[f"cut_{r}" for r in RULES]) if c != stratum]
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop(*dropped)

@@ -1,7 +1,7 @@
 import random
 import re
 from collections import Counter
-from math import comb
+from math import comb, exp, lgamma, log
 
 import pyarrow as pa
 import pytest
@@ -52,3 +52,46 @@ def test_verdicts(spark):
     assert q.verdicts(docs, labels).count() == len(rows)
     assert q.verdicts(docs, labels.limit(0)).filter("size(rejected_by) > 0").count() == 0
     assert q.verdicts(docs.limit(0), labels).count() == 0
+
+
+def test_cutoffs_and_verdicts_against_brute_force(spark):
+    """Many strata: bounds by exact binomial sums, cutoffs and verdicts from plain counts."""
+    rng = random.Random(9)
+    word = lambda: "w" + str(rng.randrange(10**6))
+    rows = []
+    for i in range(9000):
+        lang = [None, "a", "b", *[f"x{k}" for k in range(300)]][min(rng.randrange(6), 2) if rng.random() < 0.9 else rng.randrange(303)]
+        words = [word() for _ in range(rng.choice([40, 55, 60]))]
+        marks = rng.choice([0, 0, 0, 0, 4, 12, 40])
+        rows.append((i, " ".join(words[:marks]).replace(" ", " # ") + " " + " ".join(words[marks:]), lang))
+    good = {i for i, _, _ in rows if rng.random() < 0.8}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i in good)) for i, _, _ in rows], "doc_id long, quality int")
+    risk = 0.4
+    count = {i: dict(zip(q.COUNTS, brute(t))) for i, t, _ in rows}
+    failed = {i: c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"] for i, c in count.items()}
+    rate = {
+        "symbols": lambda c: c["n_symbols"] / c["n_words"], "dup_lines": lambda c: c["n_dup_lines"] / max(c["n_lines"], 1),
+        "repeats": lambda c: c["n_repeat_words"] / c["n_words"], "long_words": lambda c: c["word_chars"] / c["n_words"],
+        "short_words": lambda c: -c["word_chars"] / c["n_words"],
+    }
+    holdouts = {}
+    for i, _, lang in rows:
+        if i in good and not failed[i]:
+            holdouts.setdefault(lang, []).append(count[i])
+    level = q.DELTA / (len(holdouts) * sum(len(grid) for _, grid in q.RULES.values()))
+
+    def allowed(k, n):
+        """The upper bound is at most the share: k or fewer rejections of n are too unlikely at a rate just above it."""
+        p = risk / len(q.RULES)
+        return k < n and sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * log(p) + (n - j) * log(1 - p)) for j in range(k + 1)) <= level
+
+    cutoffs = {
+        lang: {rule: next((c for c in grid if allowed(sum(rate[rule](x) > c for x in held), len(held))), None) for rule, (_, grid) in q.RULES.items()}
+        for lang, held in holdouts.items()
+    }
+    assert len(holdouts) > 150 and any(c["symbols"] is not None for c in cutoffs.values())
+    for r in q.verdicts(docs, labels, risk=risk).collect():
+        own = cutoffs.get(r.lang, {})
+        want = [rule for rule in q.RULES if own.get(rule) is not None and rate[rule](count[r.doc_id]) > own[rule]]
+        assert r.rejected_by == want and r.kept == (not failed[r.doc_id] and not want), r

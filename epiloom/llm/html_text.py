@@ -12,9 +12,13 @@ article or main element (itself not so named) stays in the DOM, and on pages whe
 contains most of the unlinked characters (elsewhere a long advert or comment list beside a short article would). A
 wrapper is left out only inside chosen content, and only if no chosen subtree lies in it.
 
-Defined results: a NULL or empty page and a page without text have the empty text; malformed markup never raises: a
-stray end tag is ignored, open elements close with their parent; repeated pages have equal texts; clashing input columns
-are replaced.
+Time and memory follow the length of a page, also of malformed ones: tags are found with one cursor, and open elements are
+looked up by name. A very long page is one row of one task.
+
+Defined results: a NULL or empty page and a page without text have the empty text, an empty table has no rows; malformed
+markup never raises: a stray end tag is ignored, open elements close with their parent, numeric references past the last
+code point are U+FFFD; of equal density sums the first node in page order wins; repeated pages have equal texts; clashing
+input columns are replaced.
 """
 
 from __future__ import annotations
@@ -56,12 +60,76 @@ BOILERPLATE = frozenset(
 STARTS = ("advert", "breadcrumb", "comment", "cookie", "navigation", "newsletter", "sidebar", "sponsor", "subscri")
 KEPT = frozenset("html body article main".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S)
+AFTER_NAME = re.compile(r"[\s/>]")
+ENDS_TAG = re.compile("""[>"']""")
+ZEROS = re.compile("&#0+(?=[0-9])")
+BEYOND = re.compile("&#[0-9]{8,};?")  # numbers past the last code point
 NAMED = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+class Ahead:
+    """The next place of a pattern, for places asked in rising order; no stretch is searched twice."""
+
+    def __init__(self, pattern: re.Pattern[str], text: str) -> None:
+        self.pattern, self.text = pattern, text
+        self.since, self.place = 0, -1
+
+    def __call__(self, at: int) -> int:
+        """The place at or after ``at``, or the length of the text."""
+        if not self.since <= at <= self.place:
+            found = self.pattern.search(self.text, at)
+            self.since, self.place = at, found.start() if found else len(self.text)
+        return self.place
+
+
+def tokens(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, is an end tag, name, attributes) of tags; the name of comments and declarations is empty.
+
+    A ``<`` that no ``>`` outside quotes follows is text. The way from a quote or ``>`` to a tag's end depends on that
+    place alone, so places from which no end was found are remembered and all scanning is linear in the page. The consumer
+    may send the place to go on from."""
+    after_name, ends = Ahead(AFTER_NAME, html), Ahead(ENDS_TAG, html)
+    endless: set[int] = set()
+    last = html.rfind(">")
+    at = html.find("<")
+    while at >= 0:
+        stop = name = at
+        sign = html[at + 1 : at + 2]
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 4)
+            stop = len(html) if stop < 0 else stop + 3
+            name = stop
+        elif sign in ("!", "?"):
+            if last > at:
+                stop = name = html.find(">", at + 2) + 1
+        else:
+            first = at + 2 if sign == "/" else at + 1
+            letter = html[first : first + 1]
+            if last > at and letter.isascii() and letter.isalpha():
+                name = after_name(first + 1)
+                place = ends(name)
+                seen = []
+                while place <= last and html[place] != ">" and place not in endless:
+                    seen.append(place)
+                    close = html.find(html[place], place + 1)
+                    found = ENDS_TAG.search(html, max(close, place) + 1)
+                    place = found.start() if found else len(html)
+                if place <= last and html[place] == ">":
+                    stop = place + 1
+                else:
+                    endless.update(seen)
+        if stop == at:
+            at = html.find("<", at + 1)
+            continue
+        if name == stop:
+            went = yield at, stop, False, "", ""
+        else:
+            went = yield at, stop, sign == "/", html[first:name].lower(), html[name : stop - 1]
+        at = html.find("<", stop if went is None else went)
+
+
 class Dom:
     """Nodes in page order as parallel lists; text sits between nodes in ``flow``."""
 
@@ -144,6 +212,7 @@ def _parsed(html: str) -> Dom:
     dom = Dom()
     open_: list[int] = [0]
     names_of: list[str] = ["#root"]  # of open_
+    depths: dict[str, list[int]] = {}  # of the open elements of each name
     dropping = 0  # depth of open_ from which all is dropped
     at, end = 0, len(html)
 
@@ -151,6 +220,7 @@ def _parsed(html: str) -> Dom:
         nonlocal dropping
         while len(open_) > depth:
             node, name = open_.pop(), names_of.pop()
+            depths[name].pop()
             gone = bool(dropping)
             if dropping and len(open_) <= dropping:
                 dropping = 0
@@ -159,31 +229,15 @@ def _parsed(html: str) -> Dom:
             if not gone:
                 dom.last[node] = len(dom.tag) - 1
 
+    def deepest(names: tuple[str, ...]) -> int:
+        return max((depths[name][-1] for name in names if depths.get(name)), default=0)
+
     def innermost(names: tuple[str, ...], limits: tuple[str, ...]) -> int:
-        for depth in range(len(open_) - 1, 0, -1):
-            if names_of[depth] in names:
-                return depth
-            if names_of[depth] in limits:
-                return 0
-        return 0
-
-    for token in TOKEN.finditer(html):
-        if token.start() < at:
-            continue
-        if token.start() > at and not dropping:
-            dom.flow.append((open_[-1], html[at : token.start()]))
-        at = token.end()
-        tag = token[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if token[1]:
-            depth = len(open_) - 1
-            while depth > 0 and names_of[depth] != tag:
-                depth -= 1
-            if depth > 0:
-                close_to(depth)
-            continue
+        depth = deepest(names)
+        return depth if depth > deepest(limits) else 0
+
+    def opened(tag: str, attributes: str) -> None:
+        nonlocal dropping
         if tag in CLOSES_P:
             depth = innermost(("p",), ("table", "td", "th", "button", "article", "section", "div", "li", "body", "main"))
             if depth:
@@ -194,10 +248,10 @@ def _parsed(html: str) -> Dom:
         if tag in VOID:
             if not dropping and tag in ("br", "wbr", "hr"):
                 dom.flow.append((open_[-1], "" if tag == "hr" else " " if tag == "br" else ""))
-            continue
+            return
         if not dropping:
-            never, named = is_boilerplate(tag, token[3])
-            if never or (tag == "header" and "article" not in names_of and "main" not in names_of):
+            never, named = is_boilerplate(tag, attributes)
+            if never or (tag == "header" and not deepest(("article", "main"))):
                 dropping = len(open_)
                 if tag in BLOCK:
                     dom.flow.append((open_[-1], ""))
@@ -213,12 +267,32 @@ def _parsed(html: str) -> Dom:
                     dom.flow.append((node, ""))
         else:
             node = open_[-1]
+        depths.setdefault(tag, []).append(len(open_))
         open_.append(node)
         names_of.append(tag)
-        if tag in RAW:
-            stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at)
-            at = stop.end() if stop else end
-            close_to(len(open_) - 1)
+
+    scan = tokens(html)
+    token = next(scan, None)
+    while token:
+        start, stop, is_end, tag, attributes = token
+        if start > at and not dropping:
+            dom.flow.append((open_[-1], html[at:start]))
+        at = stop
+        if tag and is_end:
+            depth = deepest((tag,))
+            if depth:
+                close_to(depth)
+        elif tag:
+            opened(tag, attributes)
+            if tag in RAW and tag not in VOID:
+                found = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
+                at = html.find(">", found.end()) + 1 if found else 0
+                at = at or end
+                close_to(len(open_) - 1)
+        try:
+            token = scan.send(at)
+        except StopIteration:
+            token = None
     if at < end and not dropping:
         dom.flow.append((open_[-1], html[at:]))
     close_to(1)
@@ -327,10 +401,15 @@ def main_text(html: str | None) -> str:
             own.append(text)
     if own:
         blocks.append("".join(own))
-    clean = (" ".join(unescape(b).split()) for b in blocks)
+    clean = (" ".join(_decoded(b).split()) for b in blocks)
     return "\n".join(b for b in clean if b)
 
 
+def _decoded(text: str) -> str:
+    """Character references decoded, with numbers of any length."""
+    return unescape(BEYOND.sub("\ufffd", ZEROS.sub("&#", text)))
+
+
 def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Adds ``text`` and ``n_chars``; ``keep`` lists the columns to return. One narrow pass."""
     added = [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]

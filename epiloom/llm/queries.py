@@ -21,6 +21,7 @@ from .spans import listed
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 TOXIC_FROM = 0.7
 GOOD_FROM = 0.3
+END_ID = 65_535  # after each document; no id of the vocabulary
 ORDER_KEY = 20_240_229
 
 
@@ -80,12 +81,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_train_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids (2 bytes each) of every document, in sequences of 1,024."""
+    """Token ids (2 bytes each) of every document, an end id after each, in full sequences of 1,024."""
     docs = bpe.token_ids(table(spark, sf_dir, "documents"), vocabulary(), keep=["doc_id"])
-    docs = materialize(docs, "tokens")  # read twice below, encoded once
+    sequences = train_order.pack(docs, "ids", end=END_ID, item_bytes=2)
     folder = scratch_path(spark, "shards")
     return train_order.write_shards(
-        train_order.cut(docs, "ids", item_bytes=2), folder if "://" in folder or folder.startswith("file:") else f"file://{folder}", ORDER_KEY, item_bytes=2)
+        sequences, folder if "://" in folder or folder.startswith("file:") else f"file://{folder}", ORDER_KEY, item_bytes=2)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,18 +1,21 @@
 """Training-order materialisation: every sequence gets a global slot, shards hold the slots in order.
 
-Sequences are numbered densely from the counts per partition of their table. A keyed Feistel network over the next
-even number of bits is a permutation of a power of two; numbers that leave the range walk on along their cycle until
-they are back, which makes it a permutation of exactly the sequences. Shard ``s`` holds the slots
-``s * per_shard .. (s + 1) * per_shard - 1`` as records of a fixed stride, so the byte of any slot is known and a reader
-can resume anywhere.
+The token ids of a partition's documents form one stream, an end id after each document, and the stream is cut into full
+sequences; only the last sequence of a partition is shorter. A sequence carries the ids of its documents, where each
+starts in it and which item of the document stands there. They are written once, with their partition and their number in
+it, and the counts per partition number them densely. A keyed Feistel network over the next even number of bits is a
+permutation of a power of two; numbers that leave the range walk on along their cycle until they are back, which makes
+it a permutation of exactly the sequences. Shard ``s`` holds the slots ``s * per_shard .. (s + 1) * per_shard - 1`` as
+records of a fixed stride, so the byte of any slot is known and a reader can resume anywhere.
 
 A shard is written by one task to a name of its own and then renamed, so a repeated or lost task leaves whole shards
-only. Tasks hold one record at a time. Sequences are deflated one by one for the shuffle, which then writes less.
+only; a failed task deletes its own file, one of a lost executor stays and readers pass over it. The numbering is part of
+the written table, so it does not depend on how that is split when read. Tasks hold one sequence or one document's ids
+at a time. Sequences are deflated one by one, once, for the table and the shuffle.
 
-The numbering reads the table twice; a partition that differs between the readings fails the job. Pass a written table.
-
-Defined results: a NULL or empty text has no sequence; repeated rows are sequences of their own; an empty table writes no
-shard; a token count that is no multiple of the length gives a shorter last sequence, padded with zeros in its record.
+Defined results: a NULL or empty document has no items and no end id, one of any length runs over as many sequences as it
+needs; repeated rows are documents of their own; a NULL document id stays NULL; an empty table writes no shard; a shorter
+sequence is padded with zeros in its record; of the input only the id and the items are read, so no name clashes.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiloom.session import materialize
+
 from .textcore import mix
 
 MAGIC, HEADER = b"SEQSHARD", 64
@@ -41,6 +46,8 @@ LENGTH, PER_SHARD, ROUNDS = 1024, 16_384, 6
 
 def permute(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
     """The slots of the numbers ``x`` among ``0 .. n - 1``."""
+    if len(x) and not 0 <= np.min(x) <= np.max(x) < n:
+        raise ValueError(f"a number outside 0 .. {n - 1}")
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
     bits, mask = np.uint64(half), np.uint64((1 << half) - 1)
     keys = mix(np.uint64(key & (2**64 - 1)) + np.arange(1, rounds + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -55,53 +62,90 @@ def permute(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray
     return out.astype(np.int64)
 
 
-def cut(df: DataFrame, ids: str, item_bytes: int = 1, length: int = LENGTH) -> DataFrame:
-    """One row per sequence: the other columns, seq_no, ids (at most ``length`` items of ``item_bytes`` each)."""
-    step = length * item_bytes
-    rest = [c for c in df.columns if c not in (ids, "seq_no", "ids")]
-    data = df.select(*[f"`{c}`" for c in rest], F.col(f"`{ids}`").alias("__ids")).filter(F.octet_length("__ids") > 0)
-    numbers = F.explode(F.sequence(F.lit(0), F.floor((F.octet_length("__ids") - 1) / step).cast("int"))).alias("seq_no")
-    return data.select("*", numbers).select(*[f"`{c}`" for c in rest], "seq_no", F.col("__ids").substr(F.col("seq_no") * step + 1, F.lit(step)).alias("ids"))
+DOCUMENTS = [T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("froms", T.ArrayType(T.LongType()))]
+PACKED = T.StructType(
+    [T.StructField("part", T.IntegerType()), T.StructField("number", T.LongType()), *DOCUMENTS, T.StructField("deflated", T.BinaryType())])
+
+
+def pack(docs: DataFrame, ids: str, end: int, id: str = "doc_id", item_bytes: int = 1, length: int = LENGTH) -> DataFrame:
+    """The written table of sequences: part, number (dense in its part), doc_ids, starts, froms, deflated.
+
+    ``ids``: a binary column of little-endian items. ``end``: the item after each document.
+    """
+    step, mark = length * item_bytes, int(end).to_bytes(item_bytes, "little")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        rows: list[tuple] = []
+        own: list[tuple] = []  # (document, start in the sequence, item of the document)
+        buffer = bytearray()
+        number = 0
+
+        def close() -> None:
+            nonlocal own, number
+            rows.append((part, number, *(list(c) for c in zip(*own)), zlib.compress(bytes(buffer), 1, wbits=-zlib.MAX_WBITS)))
+            buffer.clear()
+            own, number = [], number + 1
+
+        def ready() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=PACKED.names)
+
+        kinds = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary()]
+        for batch in batches:
+            for doc, items in zip(batch.column(0).to_pylist(), batch.column(1)):
+                data = items.as_py()
+                if not data:
+                    continue
+                if len(data) % item_bytes:
+                    raise ValueError("the ids of a document are no whole number of items")
+                data, at = memoryview(data + mark), 0
+                while at < len(data):
+                    take = min(step - len(buffer), len(data) - at)
+                    own.append((doc, len(buffer) // item_bytes, at // item_bytes))
+                    buffer += data[at : at + take]
+                    at += take
+                    if len(buffer) == step:
+                        close()
+                        if len(rows) == 512:
+                            yield ready()
+        if buffer:
+            close()
+        if rows:
+            yield ready()
+
+    source = docs.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{ids}`").alias("d"))
+    return materialize(source.mapInArrow(run, PACKED), "sequences")
 
 
 def ordered(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """(the sequences with ``slot``, their number)."""
-    spark = sequences.sparkSession
-    counts = sorted(tuple(r) for r in sequences.groupBy(F.spark_partition_id().alias("p")).count().collect())  # a row per partition
+    """(the table of ``pack`` with ``slot``, the number of sequences)."""
+    counts = sorted(tuple(r) for r in sequences.groupBy("part").count().collect())  # a row per partition that was packed
     total = sum(n for _, n in counts)
-    starts, at = [], 0
-    for p, n in counts:
-        starts.append((p, at, n))
+    firsts, at = [], 0
+    for part, n in counts:
+        firsts.append((part, at))
         at += n
-    offsets = spark.createDataFrame(starts, "p int, first long, size long") if starts else spark.createDataFrame([], "p int, first long, size long")
 
     @F.pandas_udf("long")
     def slot(number: pd.Series) -> pd.Series:
         return pd.Series(permute(number.to_numpy(), total, key))
 
-    here = sequences.withColumn("__m", F.monotonically_increasing_id())
-    here = here.withColumns({"p": F.shiftright("__m", 33).cast("int"), "__n": F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))})
-    # offsets: a row per input partition, sixteen bytes each
-    here = here.join(F.broadcast(offsets), "p", "left")
-    number = F.when(F.col("__n") < F.col("size"), F.col("first") + F.col("__n")).otherwise(F.raise_error(F.lit("the sequences changed between two readings")))
-    return here.withColumn("slot", slot(number)).drop("p", "__m", "__n", "first", "size"), total
-
-
-@F.pandas_udf(T.BinaryType())
-def deflated(ids: pd.Series) -> pd.Series:
-    return ids.map(lambda data: zlib.compress(data, 1, wbits=-zlib.MAX_WBITS))
+    # a row per packed partition, twelve bytes each
+    offsets = F.broadcast(sequences.sparkSession.createDataFrame(firsts, "part int, first long"))
+    return sequences.join(offsets, "part").withColumn("slot", slot(F.col("first") + F.col("number"))).drop("first"), total
 
 
 def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int = 1, length: int = LENGTH, per_shard: int = PER_SHARD) -> DataFrame:
-    """Writes the shards when it runs; returns the key columns, slot, shard, byte_offset, n_tokens, ids_sha256 per sequence.
+    """Writes the shards when it runs; returns slot, file, byte_offset, n_tokens, ids_sha256 and the documents per sequence.
 
-    ``sequences``: columns of ``cut``. ``folder`` is a URI that all executors reach.
+    ``sequences``: the table of ``pack``. ``folder`` is a URI that all executors reach.
     """
     placed, total = ordered(sequences, key)
     shards = -(-total // per_shard) or 1
     stride = 4 + length * item_bytes
-    rest = [f for f in sequences.schema.fields if f.name != "ids"]
-    schema = T.StructType(rest + T._parse_datatype_string("slot long, shard long, byte_offset long, n_tokens int, ids_sha256 string").fields)
+    schema = T.StructType(DOCUMENTS + T._parse_datatype_string("slot long, shard long, file string, byte_offset long, n_tokens int, ids_sha256 string").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -109,40 +153,54 @@ def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int =
         out = name = None
         open_shard = expected = -1
 
+        def shard_file(shard: int) -> str:
+            return f"shard-{shard:06d}.bin"
+
         def finish() -> None:
+            nonlocal out
             if out is not None:
                 out.close()
                 if expected != min(total, (open_shard + 1) * per_shard):
                     raise ValueError(f"shard {open_shard} ends before slot {expected}")
-                store.move(name, posixpath.join(root, f"shard-{open_shard:06d}.bin"))
-
-        for batch in batches:
-            slots, ids = batch.column("slot").to_numpy(), batch.column("ids")
-            offsets, sizes, hashes = [], [], []
-            for i, slot in enumerate(slots.tolist()):
-                shard = slot // per_shard
-                if shard != open_shard:
-                    finish()
-                    open_shard, expected = shard, shard * per_shard
-                    name = posixpath.join(root, f"_writing-{shard:06d}-{attempt}")
-                    out = store.open_output_stream(name)
-                    count = min(total, (shard + 1) * per_shard) - expected
-                    out.write(struct.pack("<8sIIQQQ", MAGIC, item_bytes, length, expected, count, total).ljust(HEADER, b"\0"))
-                if slot != expected:
-                    raise ValueError(f"slot {expected} is missing")
-                expected += 1
-                data = zlib.decompress(ids[i].as_py(), wbits=-zlib.MAX_WBITS)
-                out.write(struct.pack("<I", len(data) // item_bytes) + data.ljust(length * item_bytes, b"\0"))
-                offsets.append(HEADER + (slot % per_shard) * stride)
-                sizes.append(len(data) // item_bytes)
-                hashes.append(hashlib.sha256(data).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(f.name) for f in rest], batch.column("slot"), pa.array(slots // per_shard), pa.array(offsets, pa.int64()), pa.array(sizes, pa.int32()), pa.array(hashes, pa.string())],
-                names=schema.names)
-        finish()
+                store.move(name, posixpath.join(root, shard_file(open_shard)))
+                out = None
+
+        try:
+            for batch in batches:
+                slots, ids = batch.column("slot").to_numpy(), batch.column("deflated")
+                offsets, sizes, hashes = [], [], []
+                for i, slot in enumerate(slots.tolist()):
+                    shard = slot // per_shard
+                    if shard != open_shard:
+                        finish()
+                        open_shard, expected = shard, shard * per_shard
+                        name = posixpath.join(root, f"_writing-{shard:06d}-{attempt}")
+                        out = store.open_output_stream(name)
+                        count = min(total, (shard + 1) * per_shard) - expected
+                        out.write(struct.pack("<8sIIQQQ", MAGIC, item_bytes, length, expected, count, total).ljust(HEADER, b"\0"))
+                    if slot != expected:
+                        raise ValueError(f"slot {expected} is missing")
+                    expected += 1
+                    data = zlib.decompress(ids[i].as_py(), wbits=-zlib.MAX_WBITS)
+                    out.write(struct.pack("<I", len(data) // item_bytes) + data.ljust(length * item_bytes, b"\0"))
+                    offsets.append(HEADER + (slot % per_shard) * stride)
+                    sizes.append(len(data) // item_bytes)
+                    hashes.append(hashlib.sha256(data).hexdigest())
+                shards_of = slots // per_shard
+                files = [posixpath.join(folder, shard_file(n)) for n in shards_of.tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(f.name) for f in DOCUMENTS], batch.column("slot"), pa.array(shards_of), pa.array(files, pa.string()), pa.array(offsets, pa.int64()),
+                     pa.array(sizes, pa.int32()), pa.array(hashes, pa.string())],
+                    names=schema.names)
+            finish()
+        finally:
+            if out is not None:  # failed or stopped: the shard is another attempt's to write
+                out.close()
+                if store.get_file_info(name).type == fs.FileType.File:
+                    store.delete_file(name)
 
     # the slots are dense, so the range of every shard is known without sampling
-    dealt = placed.withColumn("ids", deflated("ids")).withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
+    dealt = placed.drop("part", "number").withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
     dealt = dealt.sortWithinPartitions("slot").drop("__shard")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)

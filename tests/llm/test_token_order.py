@@ -11,8 +11,14 @@ def test_shards_hold_token_ids(spark, tmp_path, monkeypatch):
     got = queries.op9_train_order(spark, str(tmp_path)).collect()
     read, tool = dict(to.read_shards(f"file://{tmp_path}/shards")), bpe.codec(queries.vocabulary())
     assert sorted(read) == sorted(r.slot for r in got)
-    for i, text in texts.items():
-        parts = sorted((r.seq_no, r.slot, r.n_tokens) for r in got if r.doc_id == i)
-        assert all(n <= to.LENGTH and len(read[slot]) == 2 * n for _, slot, n in parts)
-        ids = np.frombuffer(b"".join(read[slot] for _, slot, _ in parts), "<u2").tolist()
-        assert ids == tool.encode(text or "") and tool.decode(ids) == (text or "")
+    found = {}
+    for r in got:
+        items = np.frombuffer(read[r.slot], "<u2").tolist()
+        assert len(items) == r.n_tokens <= to.LENGTH and r.file.endswith(f"/shard-{r.shard:06d}.bin")
+        for doc, start, end, at in zip(r.doc_ids, r.starts, [*r.starts[1:], r.n_tokens], r.froms):
+            found.setdefault(doc, {})[at] = items[start:end]
+    assert sorted(found) == sorted(i for i, t in texts.items() if t)
+    for i in found:
+        ids = [v for _, part in sorted(found[i].items()) for v in part]
+        assert ids[-1] == queries.END_ID and ids[:-1] == tool.encode(texts[i]) and tool.decode(ids[:-1]) == texts[i]
+    assert queries.END_ID >= len(tool.lengths)

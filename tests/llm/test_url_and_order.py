@@ -1,4 +1,5 @@
 import hashlib
+import os
 import tempfile
 
 import numpy as np
@@ -57,23 +58,40 @@ def test_permutation(n):
 
 
 def test_round_trip_and_resume(spark):
-    rows = [(i, "é" * (i % 37) + "x" * (i % 11), i) for i in range(300)] + [(7, None, 0), (None, "", 0), (None, "abc", 1), (5, "abc", 1), (5, "abc", 1)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, slot long").repartition(4).select("doc_id", F.col("text").cast("binary").alias("data"))
-    from epiloom.session import materialize
-
-    pieces = to.cut(materialize(frame, "t"), "data", length=16)
+    rows = [(i, "é" * (i % 37) + "x" * (i % 11), i) for i in range(300)] + [(7, None, 0), (None, "", 0), (None, "abc", 1), (5, "abc", 1), (5, "abc", 1), (900, "long " * 5000, 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, slot long").repartition(4).select("doc_id", F.col("text").cast("binary").alias("data"), "slot")
+    packed = to.pack(frame, "data", end=10, length=16)
     folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-    got = to.write_shards(pieces, folder, key=5, length=16, per_shard=50).collect()
-    want = sum(-(-len((t or "").encode()) // 16) for _, t, _ in rows)
+    got = to.write_shards(packed, folder, key=5, length=16, per_shard=50).collect()
+    items = sum(len((t or "").encode()) + bool(t) for _, t, _ in rows)
     read = dict(to.read_shards(folder))
-    assert sorted(read) == list(range(want)) == sorted(r.slot for r in got)
+    n = len(read)
+    assert sorted(read) == list(range(n)) == sorted(r.slot for r in got)
+    assert sum(len(d) for d in read.values()) == items and -(-items // 16) <= n <= items // 16 + 4  # all full but one a partition
     by_slot = {r.slot: r for r in got}
     assert all(hashlib.sha256(d).hexdigest() == by_slot[s].ids_sha256 and len(d) == by_slot[s].n_tokens for s, d in read.items())
-    texts = {}
+    pieces = {}
     for r in got:
-        if r.doc_id not in (5, None):
-            texts.setdefault(r.doc_id, {})[r.seq_no] = read[r.slot]
-    assert all(b"".join(v for _, v in sorted(texts.get(i, {}).items())) == t.encode() for i, t, _ in rows[:300] if i != 5)
-    assert [s for s, _ in to.read_shards(folder, 123)] == list(range(123, want))
-    empty = to.write_shards(to.cut(frame.limit(0), "data"), folder + "/none", key=5)
+        for doc, start, end, at in zip(r.doc_ids, r.starts, [*r.starts[1:], r.n_tokens], r.froms):
+            pieces.setdefault(doc, []).append((at, read[r.slot][start:end]))
+    for i in [*range(300), 900]:
+        text = dict((i, t) for i, t, _ in rows[:300] + rows[-1:])[i]
+        if i != 5:
+            assert b"".join(v for _, v in sorted(pieces.get(i, []))) == (text.encode() + b"\n" if text else b"")
+    assert sum(len(v) for _, v in pieces[5]) == len(rows[5][1].encode()) + 1 + 8 and b"".join(v for _, v in sorted(pieces[None])) == b"abc\n"
+    assert [s for s, _ in to.read_shards(folder, 123)] == list(range(123, n))
+    assert not [f for f in os.listdir(folder[7:]) if f.startswith("_writing")]
+    empty = to.write_shards(to.pack(frame.limit(0), "data", end=10), folder + "/none", key=5)
     assert empty.count() == 0
+
+
+def test_a_failed_shard_leaves_no_file(spark):
+    frame = spark.createDataFrame([(i, b"x" * 40) for i in range(50)], "doc_id long, data binary")
+    packed = to.pack(frame, "data", end=10, length=16)
+    folder = tempfile.mkdtemp(prefix="spark-")
+    twice = packed.union(packed.limit(1))  # one number twice, so a slot stays empty
+    with pytest.raises(Exception):
+        to.write_shards(twice, f"file://{folder}", key=5, length=16).collect()
+    assert os.listdir(folder) == []
+    with pytest.raises(ValueError):
+        to.permute(np.array([9]), 9, 5)

@@ -2,6 +2,7 @@
 
 import gzip
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,27 @@ def test_fragment_depth_merges_mates_and_splits_blocks(spark):
         assert {r.depth: r.n_positions for r in hist.collect()} == want
 
 
+def test_fragment_depth_moves_alignments_once(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):  # one cell holds most, with copies and mates that overlap
+        start = rng.randrange(180)
+        rows.append(("hot" if i % 4 else f"c{i % 7}", f"f{i % 150}", "chrM", [(start, start + rng.randint(0, 15)), (start + 4, start + 9)]))
+    al = spark.createDataFrame(rows + rows[:50], "cell string, read_name string, chrom string, blocks array<struct<start:int,end:int>>")
+    covered = {}
+    for cell, name, _, blocks in rows:
+        for s, e in blocks:
+            for p in range(s, e):
+                covered.setdefault((cell, p), set()).add(name)
+    for width in (1_000_000, 7):
+        runs = sat.fragment_depth(al, block_width=width)
+        got = {(r.cell, p): r.depth for r in runs.collect() for p in range(r.start, r.end)}
+        assert got == {k: len(v) for k, v in covered.items()}
+    physical = runs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert physical.count("Exchange hashpartitioning") == 2
+    assert sat.fragment_depth(al.limit(0)).count() == 0
+
+
 def test_saturation_fit_recovers_a_curve(spark):
     points = spark.createDataFrame(
         [("curved", f, 0.4 * (1 - math.exp(-3 * f))) for f in sat.FRACTIONS] + [("straight", f, 0.2 * f) for f in sat.FRACTIONS],

@@ -246,3 +246,20 @@ def test_demux_scans_the_reads_twice_and_trims_once(spark, tmp_path, monkeypatch
         assert str(tmp_path / "reads") not in table._jdf.queryExecution().optimizedPlan().toString()
         assert not any("reads" in f for f in table.inputFiles() if f.startswith(f"file:{tmp_path}"))
     assert result.reads.count() == 40 and result.reads.where("fate <> 'valid' AND r1_seq IS NOT NULL").count() == 0
+
+
+def test_delimited_files_are_read_in_splits_by_their_own_header(spark, tmp_path):
+    from epiloom.sources import reports as rp
+
+    keys = [(f"k{i}", f"v{i}") for i in range(3000)]
+    (tmp_path / "a.csv").write_text("﻿m_cb,gex_cb\r\n" + "".join(f"{k},{v}\r\n" for k, v in keys[:2000]))
+    (tmp_path / "b.csv").write_text('gex_cb,note,m_cb\n\n' + "".join(f'{v},"x,y",{k}\n' for k, v in keys[2000:]) + " v,,\n")
+    (tmp_path / "c.csv").write_text("")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        read = rp.read_key_map(spark, str(tmp_path), "m_cb", "gex_cb")
+        assert sorted(map(tuple, read.collect())) == sorted(keys)
+        assert read.rdd.getNumPartitions() > 3  # more tasks than files
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)

@@ -263,3 +263,12 @@ def test_delimited_files_are_read_in_splits_by_their_own_header(spark, tmp_path)
         assert read.rdd.getNumPartitions() > 3  # more tasks than files
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
+def test_seeded_cells_query_returns_every_good_cell(spark):
+    from catalog.all_queries import QUERIES
+    from catalog.fixtures import spark_sql
+
+    data = "/root/testdata/sf0.01"
+    good = spark_sql(spark, data, "SELECT barcode FROM fx_totals WHERE reads > 100").count()
+    assert QUERIES["smp_seeded_cells"](spark, data).count() == good == 100

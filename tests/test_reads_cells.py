@@ -272,3 +272,19 @@ def test_seeded_cells_query_returns_every_good_cell(spark):
     data = "/root/testdata/sf0.01"
     good = spark_sql(spark, data, "SELECT barcode FROM fx_totals WHERE reads > 100").count()
     assert QUERIES["smp_seeded_cells"](spark, data).count() == good == 100
+
+
+def test_a_file_for_every_cell_is_written_by_many_tasks(spark, tmp_path):
+    import re
+
+    from catalog import q_sources
+    from catalog.registry import Tables
+
+    class Here(Tables):
+        def path(self, name):
+            return str(tmp_path / name)
+
+    read = q_sources.src_cell_from_filename(Here(spark, "/root/testdata/sf0.001"))
+    files = list((tmp_path / "files").glob("file=*/part-*"))
+    assert read.count() == len(files) and read.where("n_rows = 1").count() == len(files)
+    assert len({re.search(r"part-(\d+)", f.name)[1] for f in files}) > 1

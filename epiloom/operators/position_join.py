@@ -15,6 +15,7 @@ positions a bit) drops the sites that cannot match.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,7 @@ def blocks(pos: Column, width: int, halo: int = 0) -> Column:
 
 
 def block_loads(dim: DataFrame, key: Sequence[str], load: Column, width: int, rows_per_salt: int) -> DataFrame:
-    """One row per block: ``salts``, and ``words``, the bitmap of its wanted stretches."""
+    """One row per block: its ``load``, ``salts``, and ``words``, the bitmap of its wanted stretches."""
     stretch = max(1, width // (32 * _WORD))
     n_words = -(-width // (stretch * _WORD))
     slot = F.floor((F.col("pos") - F.col("block").cast("long") * width) / stretch)
@@ -45,7 +46,7 @@ def block_loads(dim: DataFrame, key: Sequence[str], load: Column, width: int, ro
         F.sum(load).alias("load"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot % _WORD)).alias("bits"))
     words = F.map_from_entries(F.collect_list(F.struct("word", "bits")))  # at most n_words entries
     return bits.groupBy(*key).agg(
-        F.greatest(F.ceil(F.sum("load") / rows_per_salt), F.lit(1)).cast("int").alias("salts"), words.alias("m")
+        F.sum("load").cast("double").alias("load"), F.greatest(F.ceil(F.sum("load") / rows_per_salt), F.lit(1)).cast("int").alias("salts"), words.alias("m")
     ).withColumn("words", F.transform(F.sequence(F.lit(0), F.lit(n_words - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long")))).drop("m")
 
 
@@ -83,7 +84,11 @@ def join_sites(
     loads = block_loads(dim, block, load, block_width, rows_per_salt)
     stored = "stretch" in encoded.columns and STORE_WIDTH % block_width == 0 and halo <= STORE_WIDTH
     # Read three times below; one row per block, so writing it costs little.
-    loads = materialize(loads, "block-loads").where("salts > 0")  # always; a filter lets Spark prune by the join
+    written = materialize(loads, "block-loads")
+    # As many partitions as the load needs: if Spark chose them by shuffled bytes, a task would get more copies as the input grows.
+    total = written.agg(F.sum("load")).first()[0] or 0
+    parts = max(int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * total / rows_per_salt))
+    loads = written.drop("load").where("salts > 0")  # always; a filter lets Spark prune by the join
 
     placed = blocks(F.col("pos"), block_width, halo)
     big = encoded.withColumn("block", F.explode(placed) if halo else placed)
@@ -107,6 +112,6 @@ def join_sites(
         .drop("salts", "n_obs")
     )
     spread = [*block, "salt"]
-    return big.repartition(*spread).join(
-        small.repartition(*spread).hint("shuffle_hash"), [*spread, "pos"]
+    return big.repartition(parts, *spread).join(
+        small.repartition(parts, *spread).hint("shuffle_hash"), [*spread, "pos"]
     )

@@ -154,3 +154,13 @@ def test_dense_tables_of_many_regions_and_a_repeated_one(spark, tmp_path):
     lines = [line for f in files for line in __import__("gzip").open(f, "rt").read().splitlines()]
     assert lines[0].split(",") == ["cell", *[r[4] for r in listed]]
     assert [x.split(",")[0] for x in lines[1:]] == cells and all(len(x.split(",")) == n + 1 for x in lines)
+
+
+def test_site_join_has_as_many_partitions_as_its_load_needs(spark):
+    """A small shuffle of many copies is not joined into few tasks."""
+    sites = spark.range(4000).selectExpr("if(id % 2 = 0, 'chr1', 'chr2') AS chrom", "cast(id % 40 AS int) AS pos", "concat('c', id div 40) AS cell", "1 AS m")
+    positions = spark.range(40).selectExpr("if(id % 2 = 0, 'chr1', 'chr2') AS chrom", "cast(id AS int) AS pos", "100L AS n_obs", "0.5D AS smoothed")
+    joined = join_sites(sites, positions, rows_per_salt=100)
+    assert joined.count() == 4000
+    sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) < 1000 and joined.rdd.getNumPartitions() == 80

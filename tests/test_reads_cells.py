@@ -288,3 +288,16 @@ def test_a_file_for_every_cell_is_written_by_many_tasks(spark, tmp_path):
     files = list((tmp_path / "files").glob("file=*/part-*"))
     assert read.count() == len(files) and read.where("n_rows = 1").count() == len(files)
     assert len({re.search(r"part-(\d+)", f.name)[1] for f in files}) > 1
+
+
+def test_the_expanded_dictionary_is_never_broadcast(spark):
+    from epiloom.session import broadcast_if_small
+
+    observed = spark.createDataFrame([("AAAAC",), ("TTCCT",), ("CCCCC",)], "ocb string")
+    listed = spark.createDataFrame([(b,) for b in WHITELIST], "cb string")
+    found = bc.nearest_within(observed, listed, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {tuple(r) for r in found.collect()} == {("AAAAC", "AAAAA", 1), ("TTCCT", "TTTTT", 2)}
+    large, fits = broadcast_if_small(listed, 1)
+    assert not fits and "Broadcast" not in observed.join(large, F.col("ocb") == F.col("cb"))._jdf.queryExecution().executedPlan().toString()

@@ -162,6 +162,18 @@ def test_read_pairs_report_broken_input(spark, tmp_path):
         pair("bad").collect()
 
 
+def test_read_pairs_over_several_files_of_a_chunk(spark, tmp_path):
+    """Mates cut into files at different places, also inside a record: the lines of a chunk go on over its files."""
+    text = {m: "".join(f"@r{i} {m}\n{'ACGT'[i % 4]}\n+\n{i}\n" for i in range(50)).splitlines(keepends=True) for m in (1, 2)}
+    for mate, cuts in ((1, (0, 30, 200)), (2, (0, 81, 82, 150, 200))):
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            with gzip.open(tmp_path / f"c_R{mate}_{n:03d}.fq.gz", "wt") as out:
+                out.write("".join(text[mate][a:b]))
+    rows = tx.read_pairs(spark, str(tmp_path / "c_R1*"), str(tmp_path / "c_R2*")).orderBy("rid").collect()
+    assert [(r.chunk_id, r.rid, r.r1_header, r.r2_header, r.r2_qual) for r in rows] == [
+        ("c", i, f"@r{i} 1", f"@r{i} 2", str(i)) for i in range(50)]
+
+
 def test_new_chunks_are_processed_once(spark, tmp_path):
     from catalog.fixtures import spark_fixture
 

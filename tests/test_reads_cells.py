@@ -313,3 +313,38 @@ def test_the_expanded_dictionary_is_never_broadcast(spark):
     assert {tuple(r) for r in found.collect()} == {("AAAAC", "AAAAA", 1), ("TTCCT", "TTTTT", 2)}
     large, fits = broadcast_if_small(listed, 1)
     assert not fits and "Broadcast" not in observed.join(large, F.col("ocb") == F.col("cb"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_substitution_is_found_without_a_broadcast_or_moved_candidates(spark):
+    rng = random.Random(5)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    listed = {draw("ACG", n) for n in (1, 2, 5, 5, 5, 6, 6) for _ in range(40)} | {"ANA", "acg"}
+    seen = {draw("ACGTN", n) for n in (1, 2, 3, 5, 6) for _ in range(120)} - listed
+    near = lambda a, b: len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1
+    want = {}
+    for o in seen:
+        hits = [w for w in listed if near(o, w) and all(y in "ACGT" for x, y in zip(o, w) if x != y) and ("N" not in o or o.index("N") == next(i for i in range(len(o)) if o[i] != w[i]))]
+        if hits:
+            want[o] = (len(hits), hits[0] if len(hits) == 1 else None)
+    found = bc.correct_hamming1(spark.createDataFrame([(o,) for o in seen], "ocb string"), spark.createDataFrame([(w,) for w in listed], "cb string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "ShuffledHashJoin" in plan
+    assert all("masked" not in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert {r.ocb: (r.n_hits, r.cb) for r in found.collect()} == want and len(want) >= 40
+
+
+def test_demux_decides_and_counts_from_its_written_table(spark, tmp_path, monkeypatch):
+    """The reads are made once: barcodes are counted in the judged table, and evidence and counters read no sequence."""
+    source = spark.createDataFrame(
+        [("0001", i, f"@r{i} 1", ("AAAAA" if i % 2 else "CCCCC") + "ACGT" * 30, "I" * 125, f"@r{i} 2", "TTAG" * 30, "I" * 120) for i in range(40)],
+        "chunk_id string, rid bigint, r1_header string, r1_seq string, r1_qual string, r2_header string, r2_seq string, r2_qual string")
+    source.write.parquet(str(tmp_path / "source"))
+    plans = []
+    real = bc.barcode_histogram
+    monkeypatch.setattr(bc, "barcode_histogram", lambda reads, *a: plans.append(reads._jdf.queryExecution().executedPlan().toString()) or real(reads, *a))
+    result = demux(spark.read.parquet(str(tmp_path / "source")), spark.createDataFrame([("AAAAA",)], "cb string"), structure="B5U4")
+    assert plans and not any(str(tmp_path / "source") in p for p in plans)
+    for table in (result.evidence, result.funnel):
+        assert "r1_seq" not in table._jdf.queryExecution().executedPlan().toString()
+    rejected = result.reads.where("fate = 'rejected'")
+    assert rejected.count() == 20 and rejected.where("r1_seq IS NOT NULL OR cb IS NOT NULL").count() == 0

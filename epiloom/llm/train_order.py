@@ -11,7 +11,8 @@ records of a fixed stride, so the byte of any slot is known and a reader can res
 A shard is written by one task to a name of its own and then renamed, so a repeated or lost task leaves whole shards
 only; a failed task deletes its own file, one of a lost executor stays and readers pass over it. The numbering is part of
 the written table, so it does not depend on how that is split when read. Tasks hold one sequence or one document's ids
-at a time. Sequences are deflated one by one, once, for the table and the shuffle.
+at a time. The table holds the sequences as they are, in pages that zstd compresses together; for the shuffle each is
+deflated by itself.
 
 Defined results: a NULL or empty document has no items and no end id, one of any length runs over as many sequences as it
 needs; repeated rows are documents of their own; a NULL document id stays NULL; an empty table writes no shard; a shorter
@@ -64,11 +65,14 @@ def permute(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray
 
 DOCUMENTS = [T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("froms", T.ArrayType(T.LongType()))]
 PACKED = T.StructType(
-    [T.StructField("part", T.IntegerType()), T.StructField("number", T.LongType()), *DOCUMENTS, T.StructField("deflated", T.BinaryType())])
+    [T.StructField("part", T.IntegerType()), T.StructField("number", T.LongType()), *DOCUMENTS, T.StructField("items", T.BinaryType())])
+
+# Many sequences share a page, so what they have in common is stored once.
+TABLE_OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "7", "parquet.page.size": str(4 << 20)}
 
 
 def pack(docs: DataFrame, ids: str, end: int, id: str = "doc_id", item_bytes: int = 1, length: int = LENGTH) -> DataFrame:
-    """The written table of sequences: part, number (dense in its part), doc_ids, starts, froms, deflated.
+    """The written table of sequences: part, number (dense in its part), doc_ids, starts, froms, items.
 
     ``ids``: a binary column of little-endian items. ``end``: the item after each document.
     """
@@ -83,7 +87,7 @@ def pack(docs: DataFrame, ids: str, end: int, id: str = "doc_id", item_bytes: in
 
         def close() -> None:
             nonlocal own, number
-            rows.append((part, number, *(list(c) for c in zip(*own)), zlib.compress(bytes(buffer), 1, wbits=-zlib.MAX_WBITS)))
+            rows.append((part, number, *(list(c) for c in zip(*own)), bytes(buffer)))
             buffer.clear()
             own, number = [], number + 1
 
@@ -116,7 +120,7 @@ def pack(docs: DataFrame, ids: str, end: int, id: str = "doc_id", item_bytes: in
             yield ready()
 
     source = docs.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{ids}`").alias("d"))
-    return materialize(source.mapInArrow(run, PACKED), "sequences")
+    return materialize(source.mapInArrow(run, PACKED), "sequences", options=TABLE_OPTIONS)
 
 
 def ordered(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
@@ -199,8 +203,12 @@ def write_shards(sequences: DataFrame, folder: str, key: int, item_bytes: int =
                 if store.get_file_info(name).type == fs.FileType.File:
                     store.delete_file(name)
 
+    @F.pandas_udf("binary")
+    def deflated(items: pd.Series) -> pd.Series:
+        return items.map(lambda data: zlib.compress(data, 4, wbits=-zlib.MAX_WBITS))
+
     # the slots are dense, so the range of every shard is known without sampling
-    dealt = placed.drop("part", "number").withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
+    dealt = placed.withColumn("deflated", deflated("items")).drop("part", "number", "items").withColumn("__shard", F.floor(F.col("slot") / per_shard).cast("int")).repartitionById(shards, F.col("__shard"))
     dealt = dealt.sortWithinPartitions("slot").drop("__shard")
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)

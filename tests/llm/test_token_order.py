@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from epiloom.llm import bpe, queries
 from epiloom.llm import train_order as to
@@ -22,3 +23,14 @@ def test_shards_hold_token_ids(spark, tmp_path, monkeypatch):
         ids = [v for _, part in sorted(found[i].items()) for v in part]
         assert ids[-1] == queries.END_ID and ids[:-1] == tool.encode(texts[i]) and tool.decode(ids[:-1]) == texts[i]
     assert queries.END_ID >= len(tool.lengths)
+
+
+def test_the_table_holds_what_sequences_share_once(spark, tmp_path):
+    """Random texts in many copies: a sequence by itself does not compress, the table of all does."""
+    text = np.random.default_rng(3).bytes(40_000)
+    frame = spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, data binary").coalesce(1)
+    packed = to.pack(frame, "data", end=10)
+    written = sum(int(r.size) for r in packed.select("_metadata.file_path", F.col("_metadata.file_size").alias("size")).distinct().collect())
+    assert written < 50 * len(text) / 4
+    got = to.write_shards(packed, f"file://{tmp_path}/shards", key=5).collect()
+    assert sum(r.n_tokens for r in got) == 50 * (len(text) + 1)

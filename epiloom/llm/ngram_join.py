@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiloom.session import materialize
+from epiloom.session import broadcast_if_small, materialize
 
 from . import textcore as tc
 from .graphs import connected_components
@@ -302,10 +302,15 @@ def one_per_component(docs: DataFrame, id: str = "doc_id", text: str = "text", k
 
     Rows with a NULL id and rows without words have no component and stay.
     """
-    found = components(docs, id, text, k, num, den)
-    lead = found.filter(F.col(id) == F.col("component_id")).filter("n_shingles > 0").select(F.col(id).alias("__id")).distinct()
-    is_known = F.col(f"`{id}`").isNotNull()
+    found = components(docs, id, text, k, num, den).filter(F.col(id).isNotNull() & (F.col("n_shingles") > 0))
+    leads = F.bool_or(F.col(id) == F.col("component_id"))
+    # only ids whose rows don't simply stay: their join needs no shuffle of the texts while they are few
+    other = found.groupBy(F.col(id).alias("__id")).agg(leads.alias("__lead"), F.count("*").alias("__rows")).filter("NOT __lead OR __rows > 1")
+    other = materialize(other, "copies")
     words = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    free = docs.filter(~(is_known & words))
-    kept = docs.filter(is_known & words).join(lead, F.col(f"`{id}`") == F.col("__id"), "left_semi")
-    return kept.dropDuplicates([id]).unionByName(free)
+    same = (F.col(f"`{id}`") == F.col("__id")) & words
+    stay = docs.join(broadcast_if_small(other)[0], same, "left_anti")
+    repeated = other.filter("__lead")
+    if not repeated.take(1):
+        return stay
+    return stay.unionByName(docs.join(broadcast_if_small(repeated)[0], same, "left_semi").dropDuplicates([id]))

@@ -80,3 +80,11 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[i] for i in range(201)}) == 1 and len({got[i] for i in range(1000, 1101)}) == 1 and got[0] != got[1000]
     assert 5000 not in got
+
+
+def test_one_per_component_moves_no_texts(spark):
+    """Without repeated ids the texts of the rows that stay are not shuffled."""
+    rows = [(i, " ".join(f"a{i // 2}x{j}" for j in range(40))) for i in range(20)]
+    kept = nj.one_per_component(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
+    assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()

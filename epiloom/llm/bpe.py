@@ -8,6 +8,9 @@ skipped. Decoding concatenates vocabulary strings.
 Pieces repeat, so each Python worker keeps the encodings of recent pieces in two
 generations of bounded size; a piece that fell out is merged anew.
 
+``token_ids`` needs no more than ids: it numbers the pieces of a batch of texts and merges those it has not met side by
+side, one merge of every piece at a time and in the same order. Long pieces go to the queue.
+
 Defined results: a NULL or empty text has no ids and decodes to the empty text;
 repeated rows give repeated rows; all input columns are kept unless a name clashes
 with an output column, which then replaces it.
@@ -32,12 +35,39 @@ from pyspark.sql import types as T
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 
+
+
+def _class(pattern: str) -> str:
+    """The characters below U+10000 that ``pattern`` matches in ``regex``, as ranges of a class of ``re``."""
+    points = [c for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    those = np.array([ord(c) for c in regex.findall(pattern, "".join(map(chr, points)))])
+    runs = np.split(those, np.flatnonzero(np.diff(those) != 1) + 1)
+    return "".join(f"\\u{r[0]:04x}-\\u{r[-1]:04x}" for r in runs)
+
+
+_L, _N, _S = (_class(p) for p in (r"\p{L}", r"\p{N}", r"\s"))
+#: The same pieces for texts without characters from U+10000, where ``re`` takes half the time.
+BASIC_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
+def pieces_of(text: str) -> list[str]:
+    if text.isascii():
+        return ASCII_PIECES.findall(text)
+    return (PIECES if ASTRAL.search(text) else BASIC_PIECES).findall(text)
+
+
 ID_BITS, PLACE_BITS = 24, 40
 ID_MASK, PLACE_MASK = (1 << ID_BITS) - 1, (1 << PLACE_BITS) - 1
 
 CACHE_PIECES = 350_000  # of each generation and worker
 CACHED_PIECE_CHARS = 64
 
+WIDTHS = (8, 16, 32, 64)  # bytes of the pieces that merge side by side
+MERGED_ROWS = 1 << 14  # at a time
+TABLE_PIECES, TABLE_BYTES = 500_000, 1 << 25  # that a table of pieces holds before it starts anew
+BATCH_ROWS, BATCH_CHARS = 500, 1 << 24
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in vocabulary files."""
@@ -126,8 +156,7 @@ class BytePairs:
             if part in self.specials and len(parts) > 1:
                 out.append(self.specials[part].to_bytes(4, "little"))
                 continue
-            pieces = (ASCII_PIECES if part.isascii() else PIECES).findall(part)
-            out.append(b"".join(map(self.cache.__getitem__, pieces)))
+            out.append(b"".join(map(self.cache.__getitem__, pieces_of(part))))
             self.cache.trim()
         return b"".join(out)
 
@@ -166,6 +195,139 @@ class _Recent(dict):
             self.clear()
 
 
+class PieceTable:
+    """Ids of batches of texts. Pieces have numbers, and the ids of a number are a stretch of one array."""
+
+    def __init__(self, codec: BytePairs):
+        self.codec = codec
+        self.keys = np.array(sorted(codec.merges), np.int64)
+        self.found = np.array([codec.merges[k] for k in self.keys.tolist()], np.int64)  # rank and id
+        self.none = np.int64(1) << 62
+        self.single = np.array(codec.single, np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers = _Numbers()
+        self.ids, self.firsts, self.counts = (np.empty(0, np.int32) for _ in range(3))
+        self.bytes = 0
+
+    def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and id of the merge of each pair, or ``none``. Symbols below 0 are padding."""
+        pair = left << ID_BITS | right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.found[at], self.none)
+
+    def _merge_rows(self, symbols: np.ndarray) -> np.ndarray:
+        """Each row's symbols after all merges, to the left. The lowest rank merges first, the leftmost of equals."""
+        out, rows = np.full_like(symbols, -1), np.arange(len(symbols))
+        places = np.arange(symbols.shape[1])
+        able = self._merges(symbols[:, :-1], symbols[:, 1:])
+        while len(rows):
+            at = able.argmin(1)
+            best = able[np.arange(len(rows)), at]
+            on = best < self.none
+            if not on.all():
+                out[rows[~on]] = symbols[~on]
+                rows, symbols, able, at, best = rows[on], symbols[on], able[on], at[on], best[on]
+                if not len(rows):
+                    break
+            each = np.arange(len(rows))
+            after = places > at[:, None]  # what lies behind the merged pair moves up
+            symbols = np.where(after, np.pad(symbols[:, 1:], ((0, 0), (0, 1)), constant_values=-1), symbols)
+            able = np.where(after[:, :-1], np.pad(able[:, 1:], ((0, 0), (0, 1)), constant_values=self.none), able)
+            symbols[each, at] = best & ID_MASK
+            able[each, at] = self._merges(symbols[each, at], symbols[each, at + 1])
+            led = np.flatnonzero(at)
+            before = at[led] - 1
+            able[led, before] = self._merges(symbols[led, before], symbols[led, at[led]])
+        return out
+
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all pieces in a row, how many each has), as ``BytePairs.merge`` gives them."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        data = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        counts = np.zeros(len(pieces), np.int64)
+        owners, parts = [], []
+        for width, above in zip(WIDTHS, (0, *WIDTHS)):
+            those = np.flatnonzero((sizes > above) & (sizes <= width))
+            for start in range(0, len(those), MERGED_ROWS):
+                own = those[start : start + MERGED_ROWS]
+                at = (ends - sizes)[own, None] + np.arange(width)
+                symbols = np.where(np.arange(width) < sizes[own, None], data[np.minimum(at, len(data) - 1)], -1)
+                done = self._merge_rows(symbols)
+                there = done >= 0
+                counts[own] = there.sum(1)
+                owners.append(np.repeat(own, counts[own]))
+                parts.append(done[there])
+        for i in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            parts.append(np.array(self.codec.merge(pieces[i]), np.int64))
+            counts[i] = len(parts[-1])
+            owners.append(np.full(counts[i], i))
+        if not parts:
+            return np.empty(0, np.int64), counts
+        return np.concatenate(parts)[np.argsort(np.concatenate(owners), kind="stable")], counts
+
+    def _learn(self) -> None:
+        """Ids for the numbers that are new."""
+        fresh, specials = self.numbers.fresh, self.codec.specials
+        # a special token is no piece: it has a key of its own
+        ids, counts = self.merge([b"" if isinstance(p, tuple) else p.encode() for p in fresh])
+        for i, p in enumerate(fresh if specials else ()):
+            if isinstance(p, tuple):
+                ids = np.insert(ids, counts[:i].sum(), specials[p[0]])
+                counts[i] = 1
+        self.firsts = np.concatenate([self.firsts, (len(self.ids) + np.cumsum(counts) - counts).astype(np.int32)])
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.bytes += sum(map(len, fresh)) + 4 * len(ids)
+        fresh.clear()
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in a row, their bounds)."""
+        tool, number = self.codec, self.numbers.__getitem__
+        found, sizes = [], []
+        for text in texts:
+            text = text or ""
+            parts = tool.split.split(text) if tool.split and any(s in text for s in tool.specials) else [text]
+            size = 0
+            for part in parts:
+                if part in tool.specials and len(parts) > 1:
+                    found.append(np.array([number((part,))]))
+                else:
+                    pieces = pieces_of(part)
+                    found.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+                size += len(found[-1])
+            sizes.append(size)
+        if self.numbers.fresh:
+            self._learn()
+        of = np.concatenate(found) if found else np.empty(0, np.int64)
+        counts = self.counts[of]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.ids[np.repeat(self.firsts[of] - ends[:-1], counts) + np.arange(ends[-1])]
+        if len(self.numbers) > TABLE_PIECES or self.bytes > TABLE_BYTES:
+            self.clear()
+        return ids, ends[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
+
+
+class _Numbers(dict):
+    """Piece to number; a new piece gets the next one."""
+
+    def __init__(self):
+        self.fresh: list = []
+
+    def __missing__(self, piece) -> int:
+        self.fresh.append(piece)
+        made = self[piece] = len(self)
+        return made
+
+
+@lru_cache(maxsize=2)
+def piece_table(path: str) -> PieceTable:
+    """One table per worker process, kept between tasks."""
+    return PieceTable(codec(path))
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> BytePairs:
     """One vocabulary per worker process, kept between tasks."""
@@ -223,15 +385,23 @@ def token_ids(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str
     source = df.select(*[f"`{f.name}`" for f in kept], df[f"`{text}`"].cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = codec(vocabulary)
-        if len(tool.lengths) > 1 << 8 * item_bytes:
-            raise ValueError(f"{len(tool.lengths)} ids do not fit in {item_bytes} bytes")
+        tool = piece_table(vocabulary)
+        if len(tool.codec.lengths) > 1 << 8 * item_bytes:
+            raise ValueError(f"{len(tool.codec.lengths)} ids do not fit in {item_bytes} bytes")
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                packed = [tool.encode_bytes(v or "") for v in part.column(part.num_columns - 1).to_pylist()]
-                if item_bytes != 4:
-                    packed = [np.frombuffer(p, "<u4").astype(f"<u{item_bytes}").tobytes() for p in packed]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(packed, pa.binary())], names=schema.names)
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            start = 0
+            while start < len(texts):
+                stop, chars = start, 0
+                while stop < len(texts) and stop - start < BATCH_ROWS and chars <= BATCH_CHARS:
+                    chars += len(texts[stop] or "")
+                    stop += 1
+                ids, bounds = tool.encode(texts[start:stop])
+                if bounds[-1] * item_bytes >= 1 << 31:
+                    raise ValueError("the ids of a document do not fit in a binary value")
+                buffers = [None, pa.py_buffer((bounds * item_bytes).astype(np.int32)), pa.py_buffer(ids.astype(f"<u{item_bytes}"))]
+                packed = pa.Array.from_buffers(pa.binary(), stop - start, buffers)
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, stop - start).columns[:-1], packed], names=schema.names)
+                start = stop
 
     return source.mapInArrow(run, schema)

@@ -92,3 +92,34 @@ def test_frame(spark, library):
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert bpe.encode(docs.limit(0), PATH).count() == 0
     assert bpe.encode(docs, PATH, keep_ids=False, keep=["doc_id"]).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+@pytest.mark.parametrize("limit", [20, 500_000])
+def test_batches_against_the_library(library, monkeypatch, limit):
+    """op9's CPU: pieces merge side by side, with a table that starts anew or not."""
+    monkeypatch.setattr(bpe, "TABLE_PIECES", limit)
+    table, rng = bpe.PieceTable(bpe.codec(PATH)), random.Random(5)
+    letters = "".join(chr(rng.randrange(c, c + 500)) for c in range(0, 0x3000, 500) for _ in range(9)) + "aaeiinnnrstt  \u3000\x1c\x85\u200b"
+    many = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for _ in range(200)]
+    for batch in ([], [None, ""], ODD, texts(21, 200), many, [*ODD, None, *texts(22, 50)]):
+        ids, bounds = table.encode(batch)
+        got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == [library.encode(t or "", add_special_tokens=False).ids for t in batch]
+
+
+def test_short_pieces_of_a_batch_need_no_queue(monkeypatch):
+    tool, rng = bpe.BytePairs(PATH), random.Random(6)
+    words = [" ".join("".join(rng.choice("abcdeinorst\u00e9") for _ in range(rng.randint(1, 25))) for _ in range(50)) for _ in range(40)]
+    want = [tool.encode(t) for t in words]
+    monkeypatch.setattr(tool, "merge", lambda data: pytest.fail("a queue"))
+    ids, bounds = bpe.PieceTable(tool).encode(words)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+
+
+def test_pieces_without_astral_characters():
+    every = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    random.Random(8).shuffle(every)
+    text = "".join(a + b for a, b in zip(every, ("", " ", "a", "1", "'s", "\n ", "\u00e9", "\u2028") * 8_000))
+    assert bpe.BASIC_PIECES.findall(text) == bpe.PIECES.findall(text)
+    for c in every:
+        assert bpe.pieces_of(f"x {c}{c} y\u00e9") == bpe.PIECES.findall(f"x {c}{c} y\u00e9")

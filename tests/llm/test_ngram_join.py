@@ -88,3 +88,22 @@ def test_one_per_component_moves_no_texts(spark):
     kept = nj.one_per_component(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 20, 2))
     assert "Exchange hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_components_write_the_labels_once(spark, monkeypatch):
+    """pipeline: the driver plans no join of all labels in every round."""
+    from epiloom.llm import graphs
+
+    names = []
+
+    def noted(df, name, *args, **more):
+        names.append(name)
+        return materialize(df, name, *args, **more)
+
+    materialize = graphs.materialize
+    monkeypatch.setattr(graphs, "materialize", noted)
+    chain = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1100)]
+    got = {r.node: r.component for r in graphs.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert len(got) == 401 and len({got[i] for i in range(301)}) == 1 and len({got[i] for i in range(1000, 1100)}) == 1
+    assert got[0] != got[1000] and set(got.values()) <= set(got)
+    assert names.count("parents") > 2 and names.count("labels") <= 1 + names.count("parents") // graphs.JOINS_A_PLAN

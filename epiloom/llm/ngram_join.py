@@ -5,9 +5,11 @@
    (or of it and the one below) can have differences. So two sets that link agree in a whole part, and parts hold
    several shingles: a shared passage alone does not fill one. Parts that are empty count only for sets with unusually
    many of them, which keeps the argument exact.
-3. Nodes with an equal part get an edge: within a batch from the first node of the part to the others, and across
-   batches between neighbours in the run of a part. Every link lies within a connected component ("cluster") of these
-   edges, and their number is at most that of the parts.
+3. Nodes with an equal part meet in the run of that part. In a run of at most ``RUN`` nodes each pair is judged by two odd
+   bitmaps (below) that move instead of texts, and only pairs that may link get an edge. In a longer run neighbours get an
+   edge, but only among the nodes whose guaranteed equal parts may all be of longer runs. Every link lies within a connected
+   component ("cluster") of these edges, and passages that many texts share don't join them: else one cluster holds most of a
+   large corpus, whose texts then meet pairwise.
 4. Clusters are dealt to tiles of a bounded number of shingles. A cluster too large for one is split by size band
    (only equal or neighbouring bands can link) and, within a band, by a hash of the node.
 5. In a tile, an odd bitmap (bit = parity of the shingles that hash to it) bounds the overlap of two sets from
@@ -41,6 +43,9 @@ from .graphs import connected_components
 
 TILE_SHINGLES = 1 << 21
 MAP_BYTES = 1 << 26  # of the bits of a tile before they are packed
+RUN = 8  # nodes of a part whose pairs are judged one by one
+MAP_BITS = 1 << 15  # of a node's bitmap at most: a narrower one is a weaker bound
+GATHER_BYTES = 1 << 22
 
 
 def node_numbers(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -72,13 +77,15 @@ def size_bands(largest: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray
     return starts, apart, parts
 
 
-def part_keys(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the parts of every set, for its own band and the next one if a larger set can link from there."""
+def _schemes(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> Iterator[tuple]:
+    """The parts of every set, for its own band and the next one if a larger set can link from there.
+
+    (rows, scheme and parts and most differences of each, places of the values, row and part where a part that isn't empty begins).
+    """
     n = np.diff(bounds)
     starts, apart, parts = size_bands(int(n.max(initial=1)), num, den)
     band = np.searchsorted(starts, n, "right") - 1
     able = (n * den // num > n) | ((n - 1) * den >= num * (n + 1))  # else only an equal set links
-    rows, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     for up in (0, 1):
         own = np.flatnonzero(able & (n > 0) & ((up == 0) | (n * den // num >= starts[band + 1])))
         if not len(own):
@@ -91,63 +98,142 @@ def part_keys(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tup
         opens = np.ones(len(at), bool)
         opens[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
         first = np.flatnonzero(opens)
+        yield own, scheme, parts[scheme], apart[scheme], at, row[first], part[first], first
+
+
+def spare_parts(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> np.ndarray:
+    """How many parts that aren't empty a set has in common with any set that it links with, at least."""
+    spare = np.full(len(bounds) - 1, np.iinfo(np.int32).max, np.int64)
+    for own, _, _, apart, _, row, _, _ in _schemes(values, bounds, num, den):
+        spare[own] = np.minimum(spare[own], np.bincount(row, minlength=len(own)) - apart)
+    return spare
+
+
+def part_keys(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the parts of every set."""
+    rows, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for own, scheme, parts, apart, at, row, part, first in _schemes(values, bounds, num, den):
         sums = tc.row_sums(tc.mix(values[at]), np.append(first, len(at)))
         name = lambda r, q: tc.mix(scheme[r].astype(np.uint64) << np.uint64(32) | q)
-        rows.append(own[row[first]])
-        keys.append(tc.mix(sums + name(row[first], part[first])))
-        full = np.bincount(row[first], minlength=len(own))
-        for r in np.flatnonzero(parts[scheme] - full >= parts[scheme] - apart[scheme]):
-            empty = np.setdiff1d(np.arange(parts[scheme[r]], dtype=np.uint64), part[first[row[first] == r]])
+        rows.append(own[row])
+        keys.append(tc.mix(sums + name(row, part)))
+        full = np.bincount(row, minlength=len(own))
+        for r in np.flatnonzero(full <= apart):
+            empty = np.setdiff1d(np.arange(parts[r], dtype=np.uint64), part[row == r])
             rows.append(np.full(len(empty), own[r]))
             keys.append(tc.mix(name(np.full(len(empty), r), empty) ^ np.uint64(0xE0)))
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def document_sets(docs: DataFrame, id: str, text: str, k: int) -> DataFrame:
-    """(id, n_shingles, node)."""
+def bitmaps(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The odd bitmap of each set of shingles, as bytes: a bit is the parity of the shingles with its number as low bits.
+
+    There are about as many bits as shingles; folding a map's halves by XOR gives the one of half the width.
+    """
+    n = np.diff(bounds)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), 64, MAP_BITS)
+    starts = np.concatenate([[0], np.cumsum(width)])
+    bits = np.repeat(starts[:-1], n) + (values & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(bits, minlength=starts[-1]) & 1).astype(np.uint8), bitorder="little")
+    offsets = (starts // 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+
+
+def _rows_of(maps: pa.Array, rows: np.ndarray, width: int, least: int) -> np.ndarray:
+    """The maps of some rows, all of ``width`` bytes, folded to ``least`` bytes, as words."""
+    starts = np.frombuffer(maps.buffers()[1], np.int32)[maps.offset : maps.offset + len(maps)]
+    data = np.frombuffer(maps.buffers()[2], np.uint8)
+    words = data[starts[rows][:, None] + np.arange(width, dtype=np.int32)].view(np.uint64)
+    return np.bitwise_xor.reduce(words.reshape(len(rows), width // least, least // 8), axis=1)
+
+
+def may_link(n_a: np.ndarray, map_a: pa.Array, n_b: np.ndarray, map_b: pa.Array, num: int, den: int) -> np.ndarray:
+    """False for pairs of sets whose bitmaps leave too few shingles in common, as bits that differ are shingles that differ."""
+    wide_a, wide_b = (np.diff(np.frombuffer(m.buffers()[1], np.int32)[m.offset : m.offset + len(m) + 1]) for m in (map_a, map_b))
+    apart = np.abs(n_a - n_b)
+    for x, y in np.unique(np.stack([wide_a, wide_b], 1), axis=0).tolist():
+        least = min(x, y)
+        same = np.flatnonzero((wide_a == x) & (wide_b == y))
+        step = max(1, GATHER_BYTES // max(x, y))
+        for rows in (same[i : i + step] for i in range(0, len(same), step)):
+            differ = _rows_of(map_a, rows, x, least) ^ _rows_of(map_b, rows, y, least)
+            apart[rows] = np.maximum(apart[rows], np.bitwise_count(differ).sum(1, dtype=np.int64))
+    both = n_a + n_b
+    return (both - apart) // 2 * (den + num) >= num * both
+
+
+def document_sets(docs: DataFrame, id: str, text: str, k: int, num: int, den: int) -> DataFrame:
+    """(id, n_shingles, node, bitmap, spare)."""
     source = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    schema = T.StructType([source.schema["id"], *T._parse_datatype_string("n_shingles long, node long").fields])
+    schema = T.StructType([source.schema["id"], *T._parse_datatype_string("n_shingles long, node long, bitmap binary, spare long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, values, bounds in _text_sets(batch.column(1), k):
                 n = np.diff(bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(part.first, part.n), pa.array(n, pa.int64()), pa.array(node_numbers(values, bounds), pa.int64(), mask=n == 0)], names=schema.names)
+                    [batch.column(0).slice(part.first, part.n), pa.array(n, pa.int64()), pa.array(node_numbers(values, bounds), pa.int64(), mask=n == 0),
+                     bitmaps(values, bounds), pa.array(spare_parts(values, bounds, num, den))], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
 def part_rows(docs: DataFrame, id: str, text: str, k: int, num: int, den: int) -> DataFrame:
-    """(key, node): one row for each part of a batch; the batch's other nodes of the part share a key with it as pairs."""
+    """(key, node): one row for each part of a batch's nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for _, values, bounds in _text_sets(batch.column(0), k):
+                number = node_numbers(values, bounds)
                 row, key = part_keys(values, bounds, num, den)
-                keys.append(key)
-                nodes.append(node_numbers(values, bounds)[row])
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            opens = np.ones(len(key), bool)
-            opens[1:] = key[1:] != key[:-1]
-            lead = node[opens][np.cumsum(opens) - 1]
-            more = np.flatnonzero(node != lead)
-            pairs = np.unique(np.stack([lead[more], node[more]], 1), axis=0)
-            joint = tc.mix(tc.mix(pairs[:, 0].view(np.uint64)) + pairs[:, 1].view(np.uint64)) if len(pairs) else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key[opens], joint, joint]).view(np.int64)), pa.array(np.concatenate([node[opens], pairs[:, 0], pairs[:, 1]]))], names=["key", "node"])
+                first = np.zeros(len(number), bool)
+                first[np.unique(number, return_index=True)[1]] = True  # of equal sets
+                keys.append(key[first[row]])
+                nodes.append(number[row[first[row]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], names=["key", "node"])
 
     known = docs.filter(F.col(f"`{id}`").isNotNull())
     return known.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(run, "key long, node long")
 
 
-def candidate_edges(rows: DataFrame) -> DataFrame:
-    """(a, b): neighbours in the run of a key."""
+def met_nodes(rows: DataFrame) -> DataFrame:
+    """(a, b, key): each pair of a run of at most ``RUN`` nodes without its key; of a longer run its nodes ``b`` and key."""
+    run = Window.partitionBy("key").orderBy("node")
+    before, after = F.lag("node").over(run), F.lead("node").over(run)
+    # most parts are of one node; the rest stays in place
+    shared = rows.select("key", "node", before.alias("before"), after.alias("after")).filter("before <> node OR after <> node")
+    shared = shared.select("key", "node").distinct()
+    around = F.count("*").over(run.rowsBetween(-RUN, RUN))  # over RUN for each row of a longer run, and only there
+    earlier = F.array_compact(F.array(*[F.lag("node", i).over(run) for i in range(1, RUN)]))
+    met = shared.select("key", "node", around.alias("around"), earlier.alias("earlier"))
+    none = F.lit(None).cast("long")
+    return met.select(
+        F.explode(F.when(F.col("around") > RUN, F.array(none)).otherwise(F.col("earlier"))).alias("a"), F.col("node").alias("b"),
+        F.when(F.col("around") > RUN, F.col("key")).alias("key")).distinct()
+
+
+def candidate_edges(met: DataFrame, known: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): the pairs that may link, and the neighbours of longer runs; ``known``: node, n, bitmap, spare.
+
+    A longer run matters only to nodes with as many such parts as they have spare ones: any other node that links shares a part
+    with a shorter run, too.
+    """
+    end = lambda side: known.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"map_{side}"))
+    judged = met.filter("key IS NULL").join(end("a"), "a").join(end("b"), "b").select("a", "b", "n_a", "map_a", "n_b", "map_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column
+                able = may_link(column(2).to_numpy(), column(3), column(4).to_numpy(), column(5), num, den)
+                yield batch.select(["a", "b"]).filter(pa.array(able))
+
+    common = met.filter("key IS NOT NULL").select("key", F.col("b").alias("node"))
+    bound = common.groupBy("node").agg(F.count("*").alias("parts")).join(known.select("node", "spare"), "node").filter("parts >= spare").select("node")
     before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    return rows.select(before.alias("a"), F.col("node").alias("b")).filter("a IS NOT NULL AND a <> b")
+    chained = common.join(bound, "node").select(before.alias("a"), F.col("node").alias("b")).filter("a IS NOT NULL")
+    return judged.mapInArrow(run, "a long, b long").unionByName(chained)
 
 
 class _Forest:
@@ -198,7 +284,7 @@ def linked(sets: list[np.ndarray], components: list, x: np.ndarray, y: np.ndarra
 
 
 def tile_links(docs: DataFrame, dealt: DataFrame, text: str, id: str, k: int, num: int, den: int) -> DataFrame:
-    """(a, b) links inside tiles; ``dealt``: id, node, tile, cluster, component, x, y."""
+    """(a, b) links inside tiles; ``dealt``: id, node, tile, cluster, component, x, y. Only texts of its ids move, while they are few."""
     texts = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
 
     def run(table: pa.Table) -> pa.Table:
@@ -222,6 +308,7 @@ def tile_links(docs: DataFrame, dealt: DataFrame, text: str, id: str, k: int, nu
                 b.append(int(node[own[j]]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    dealt = broadcast_if_small(materialize(dealt, "dealt"))[0]
     return texts.join(dealt, "id").drop("id").groupBy("tile").applyInArrow(run, "a long, b long")
 
 
@@ -240,9 +327,13 @@ def components(
     tile_shingles: int = TILE_SHINGLES,
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every document; two link when ``den * intersection >= num * union``."""
-    sets = materialize(document_sets(docs, id, text, k), "sets")
-    clusters = connected_components(candidate_edges(part_rows(docs, id, text, k, num, den))).withColumnRenamed("component", "cluster")
-    known = sets.filter("id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"))
+    sets = materialize(document_sets(docs, id, text, k, num, den), "sets")
+    known = sets.filter("id IS NOT NULL AND node IS NOT NULL").groupBy("node").agg(
+        F.min("id").alias("id"), F.min("n_shingles").alias("n"), F.min("bitmap").alias("bitmap"), F.min("spare").alias("spare"))
+    known = materialize(known, "nodes")
+    met = materialize(met_nodes(part_rows(docs, id, text, k, num, den)), "met")
+    clusters = connected_components(candidate_edges(met, known, num, den)).withColumnRenamed("component", "cluster")
+    known = known.select("id", "node", "n")
     band = F.floor(F.log(F.col("n").cast("double")) / log(den / num)).cast("long")
     members = materialize(clusters.join(known, "node").withColumn("band", band), "members")
     weights = members.groupBy("cluster").agg(F.sum("n").alias("load"))

@@ -2,6 +2,8 @@ import random
 import re
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from epiloom.llm import ngram_join as nj
@@ -107,3 +109,45 @@ def test_components_write_the_labels_once(spark, monkeypatch):
     assert len(got) == 401 and len({got[i] for i in range(301)}) == 1 and len({got[i] for i in range(1000, 1100)}) == 1
     assert got[0] != got[1000] and set(got.values()) <= set(got)
     assert names.count("parents") > 2 and names.count("labels") <= 1 + names.count("parents") // graphs.JOINS_A_PLAN
+
+
+@pytest.mark.parametrize("run", [1, 2, 5])
+def test_longer_runs_against_brute_force(spark, monkeypatch, run):
+    monkeypatch.setattr(nj, "RUN", run)
+    rows = corpus(random.Random(run), 200)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = nj.components(frame, k=5, num=80)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got.collect()) == brute(rows, 5, Fraction(4, 5))
+
+
+def test_common_passages_move_no_texts(spark, monkeypatch):
+    """pipeline: texts that share a passage, but aren't near, met in tiles, all texts with all others."""
+    dealt = []
+
+    def noted(df, name, *args, **more):
+        out = materialize(df, name, *args, **more)
+        dealt.extend(r.id for r in out.select("id").collect()) if name == "dealt" else None
+        return out
+
+    materialize = nj.materialize
+    monkeypatch.setattr(nj, "materialize", noted)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([f"a{rng.random()}" for _ in range(110)] + passage + [f"b{rng.random()}" for _ in range(50)])) for i in range(100)]
+    rows.append((100, rows[7][1] + " more"))
+    got = {r.doc_id: r.component_id for r in nj.components(spark.createDataFrame(rows, "doc_id long, text string"), k=5, num=80).collect()}
+    assert got == {i: 7 if i == 100 else i for i in range(101)}
+    assert 2 <= len(dealt) < 30
+
+
+def test_bitmaps_never_lose_a_link():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[: rng.integers(20, 400)], rng.integers(0, 1 << 63, rng.integers(0, 60), dtype=np.uint64)])) for _ in range(60)]
+    bounds = np.cumsum([0, *map(len, sets)])
+    maps, n = nj.bitmaps(np.concatenate(sets), bounds), np.diff(bounds)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
+    able = nj.may_link(n[a], maps.take(pa.array(a)), n[b], maps.take(pa.array(b)), 80, 100)
+    common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    near = 100 * common >= 80 * (n[a] + n[b] - common)
+    assert near.sum() > 60 and able[near].all() and not able[common * 2 < (n[a] + n[b]) // 2].any()

@@ -149,6 +149,7 @@ def _rows_of(maps: pa.Array, rows: np.ndarray, width: int, least: int) -> np.nda
 
 def may_link(n_a: np.ndarray, map_a: pa.Array, n_b: np.ndarray, map_b: pa.Array, num: int, den: int) -> np.ndarray:
     """False for pairs of sets whose bitmaps leave too few shingles in common, as bits that differ are shingles that differ."""
+    map_a, map_b = map_a.cast(pa.binary()), map_b.cast(pa.binary())  # a session may use large ones
     wide_a, wide_b = (np.diff(np.frombuffer(m.buffers()[1], np.int32)[m.offset : m.offset + len(m) + 1]) for m in (map_a, map_b))
     apart = np.abs(n_a - n_b)
     for x, y in np.unique(np.stack([wide_a, wide_b], 1), axis=0).tolist():

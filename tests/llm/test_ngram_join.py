@@ -147,7 +147,7 @@ def test_bitmaps_never_lose_a_link():
     bounds = np.cumsum([0, *map(len, sets)])
     maps, n = nj.bitmaps(np.concatenate(sets), bounds), np.diff(bounds)
     a, b = (x.ravel() for x in np.meshgrid(np.arange(60), np.arange(60)))
-    able = nj.may_link(n[a], maps.take(pa.array(a)), n[b], maps.take(pa.array(b)), 80, 100)
+    able = nj.may_link(n[a], maps.take(pa.array(a)), n[b], maps.take(pa.array(b)).cast(pa.large_binary()), 80, 100)
     common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)])
     near = 100 * common >= 80 * (n[a] + n[b] - common)
     assert near.sum() > 60 and able[near].all() and not able[common * 2 < (n[a] + n[b]) // 2].any()
